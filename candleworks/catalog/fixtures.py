@@ -15,17 +15,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _bars(trades: DataFrame) -> DataFrame:
-    """Daily bars of trades; all aggregates combine before the shuffle."""
+    """Daily bars of trades; all aggregates combine before the shuffle.
+
+    The order of trades (order, line, part, supplier) is packed in one decimal, so that
+    open and close have fixed-width buffers and the aggregation stays a hash aggregation.
+    """
     price = F.col("l_extendedprice") / F.col("l_quantity")
-    order = F.struct(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"
-    )
-    at = lambda edge: edge.getField("l_extendedprice") / edge.getField("l_quantity")
+    line = (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("decimal(16,0)")
+    part = F.col("l_partkey").cast("decimal(12,0)") * F.lit(10**10).cast("decimal(11,0)")
+    place = line * F.lit(str(10**22)).cast("decimal(23,0)") + (part + F.col("l_suppkey"))
     daily = trades.groupBy(SYMBOL, F.col("l_shipdate").cast("date").alias("date")).agg(
-        at(F.min(order)).alias("open"),
+        F.min_by(price, place).alias("open"),
         F.max(price).alias("high"),
         F.min(price).alias("low"),
-        at(F.max(order)).alias("close"),
+        F.max_by(price, place).alias("close"),
         F.sum("l_quantity").cast("bigint").alias("volume"),
     )
     in_order = Window.partitionBy(SYMBOL).orderBy("date")

@@ -150,48 +150,61 @@ def _as_rows(per_symbol: DataFrame, candidates: list[Column]) -> DataFrame:
     )
 
 
-# --- row rules -------------------------------------------------------------
+# --- row rules and the order of rows ---------------------------------------
 
 
-def _row_issues(bars: DataFrame, wanted: Collection[str]) -> DataFrame:
-    conditions = {k: v for k, v in row_rules().items() if k[0] in wanted}
-    names = {k: f"c{i}" for i, k in enumerate(conditions)}
-    counts = [flag_count(cond).alias(names[k]) for k, cond in conditions.items()]
-    counts.append(F.count("*").alias("n"))
-    counts.append(flag_count(F.col("volume") == 0).alias("zero"))
+def _row_candidates(conditions: dict, wanted: Collection[str]) -> list[Column]:
     n, zero = F.col("n"), F.col("zero")
-    enough = n >= 2
     found = []
-    for (rule, field), name in names.items():
-        hit = F.col(name) > 0
-        if CATALOGUE[rule].stage > 2:
-            hit = hit & enough
-        found.append(_issue(rule, F.col(name), hit, field))
+    for i, (rule, field) in enumerate(conditions):
+        hits = F.col(f"c{i}")
+        # Rules of the later stages need two rows.
+        hit = hits > 0 if CATALOGUE[rule].stage < 3 else (hits > 0) & (n >= 2)
+        found.append(_issue(rule, hits, hit, field))
     if "vr_min_rows" in wanted:
         found.append(_issue("vr_min_rows", n, n < MIN_ROWS))
     if "vr_volume_zero_share" in wanted:
         severity = F.when(zero < n * ZERO_VOLUME_SHARE, WARNING).otherwise(CRITICAL)
+        hit = (zero > 0) & (n >= 2)
+        share = ratio(zero, n) * 100
         found.append(
-            _issue(
-                "vr_volume_zero_share",
-                zero,
-                (zero > 0) & enough,
-                "volume",
-                metric=ratio(zero, n) * 100,
-                severity=severity,
-            )
+            _issue("vr_volume_zero_share", zero, hit, "volume", metric=share, severity=severity)
         )
-    return _as_rows(bars.groupBy(SYMBOL).agg(*counts), found)
+    return found
 
 
-# --- order of rows ---------------------------------------------------------
+def _order_candidates(wanted: Collection[str]) -> list[Column]:
+    n, one = F.col("n"), F.col("one")
+    share = ratio(one, n - 1)
+    found = {
+        "vr_date_order": _issue("vr_date_order", F.col("back")),
+        "vr_gap_suspicious": _issue("vr_gap_suspicious", F.col("long"), metric=F.col("max_gap")),
+        "vr_sparse_series": _issue(
+            "vr_sparse_series", one, share < MIN_DAILY_SHARE, metric=share * 100
+        ),
+        "vr_temporal_stats": _issue(
+            "vr_temporal_stats", one, n > 1, metric=F.col("weekend"), metric_2=F.col("holiday")
+        ),
+    }
+    return [issue for rule, issue in found.items() if rule in wanted]
+
+
+def _steps(now: str, prev: str) -> dict[str, Column]:
+    """What the step from one row to the next counts as."""
+    days = days_between(prev, now)
+    return {
+        "back": F.col(now) < F.col(prev),
+        "one": days == 1,
+        "weekend": days.between(2, 3),
+        "holiday": days.between(4, LONG_GAP_DAYS),
+        "long": days > LONG_GAP_DAYS,
+    }
 
 
 def _ingest_blocks(bars: DataFrame) -> DataFrame:
     """Rows with the datetime of the row before them in the same ingest block."""
-    block = F.floor(F.col(SEQ) / SEQ_BLOCK)
     w = Window.partitionBy(SYMBOL, "_block").orderBy(SEQ)
-    return bars.select(SYMBOL, SEQ, DATETIME, block.alias("_block")).withColumn(
+    return bars.withColumn("_block", F.floor(F.col(SEQ) / SEQ_BLOCK)).withColumn(
         "_prev", F.lag(DATETIME).over(w)
     )
 
@@ -211,56 +224,31 @@ def _block_ends(blocks: DataFrame, *more: Column) -> DataFrame:
     )
 
 
-def _order_issues(bars: DataFrame, wanted: Collection[str]) -> DataFrame:
-    def steps(now: str, prev: str) -> dict[str, Column]:
-        days = days_between(prev, now)
-        return {
-            "back": F.col(now) < F.col(prev),
-            "one": days == 1,
-            "weekend": days.between(2, 3),
-            "holiday": days.between(4, LONG_GAP_DAYS),
-            "long": days > LONG_GAP_DAYS,
-        }
-
-    inside = [flag_count(c).alias(k) for k, c in steps(DATETIME, "_prev").items()]
+def _pass_by_ingest(bars: DataFrame, wanted: Collection[str]) -> DataFrame:
+    """Row rules, and in the same pass (if asked for) the rules on the order of rows."""
+    conditions = {k: v for k, v in row_rules().items() if k[0] in wanted}
+    counts = {f"c{i}": flag_count(cond) for i, cond in enumerate(conditions.values())}
+    counts["n"] = F.count("*")
+    counts["zero"] = flag_count(F.col("volume") == 0)
+    candidates = _row_candidates(conditions, wanted) + _order_candidates(wanted)
+    if not set(_ORDER_RULES) & set(wanted):
+        total = bars.groupBy(SYMBOL).agg(*[c.alias(k) for k, c in counts.items()])
+        return _as_rows(total, candidates)
+    inside = {k: flag_count(c) for k, c in _steps(DATETIME, "_prev").items()}
     blocks = _block_ends(
         _ingest_blocks(bars),
-        *inside,
+        *[c.alias(k) for k, c in {**counts, **inside}.items()],
         F.max(days_between("_prev", DATETIME)).alias("max_gap"),
-        F.count("*").alias("n"),
     )
     total = blocks.groupBy(SYMBOL).agg(
-        F.sum("n").alias("n"),
+        *[F.sum(k).alias(k) for k in counts],
+        *[(F.sum(k) + flag_count(c)).alias(k) for k, c in _steps("_first", "_before").items()],
         F.greatest(F.max("max_gap"), F.max(days_between("_before", "_first"))).alias("max_gap"),
-        *[(F.sum(k) + flag_count(c)).alias(k) for k, c in steps("_first", "_before").items()],
-    )
-    n, one = F.col("n"), F.col("one")
-    share = ratio(one, n - 1)
-    found = {
-        "vr_date_order": _issue("vr_date_order", F.col("back")),
-        "vr_gap_suspicious": _issue("vr_gap_suspicious", F.col("long"), metric=F.col("max_gap")),
-        "vr_sparse_series": _issue(
-            "vr_sparse_series", one, share < MIN_DAILY_SHARE, metric=share * 100
-        ),
-        "vr_temporal_stats": _issue(
-            "vr_temporal_stats", one, n > 1, metric=F.col("weekend"), metric_2=F.col("holiday")
-        ),
-    }
-    return _as_rows(total, [v for k, v in found.items() if k in wanted])
-
-
-def _duplicate_issues(bars: DataFrame) -> DataFrame:
-    times = bars.groupBy(SYMBOL, DATETIME).agg((F.count("*") - 1).alias("extra"))
-    per_date = (
-        times.where(F.col("extra") > 0)
-        .groupBy(SYMBOL, F.col(DATETIME).cast("date").alias("date"))
-        .agg(F.sum("extra").alias("extra"))
     )
-    total = per_date.groupBy(SYMBOL).agg(F.sum("extra").alias("extra"), F.count("*").alias("dates"))
-    return _as_rows(total, [_issue("vr_date_duplicate", F.col("extra"), metric=F.col("dates"))])
+    return _as_rows(total, candidates)
 
 
-# --- anomalies -------------------------------------------------------------
+# --- copies and changes along the datetime ---------------------------------
 
 
 def _variation(now: Column, prev: Column) -> Column:
@@ -269,7 +257,7 @@ def _variation(now: Column, prev: Column) -> Column:
     return F.when(from_zero, F.lit(float("inf"))).otherwise(F.abs(change(now, prev)))
 
 
-def _fold_changes(parts: DataFrame, into: list[str], order: list[str]) -> DataFrame:
+def _fold_changes(parts: DataFrame, into: list[str], order: list[str], *more: Column) -> DataFrame:
     """Merge neighbouring stretches of a series into one stretch per key ``into``.
 
     A stretch has its first and last known close, its rows, and the number and size
@@ -288,11 +276,24 @@ def _fold_changes(parts: DataFrame, into: list[str], order: list[str]) -> DataFr
             F.greatest(F.max("largest"), F.max(F.when(hit, F.col("step")))).alias("largest"),
             F.min_by("first", F.when(F.col("first").isNotNull(), place)).alias("first"),
             F.max_by("last", F.when(F.col("last").isNotNull(), place)).alias("last"),
+            *more,
         )
     )
 
 
-def _variation_issues(bars: DataFrame) -> DataFrame:
+def _mark_copies(times: DataFrame, w) -> DataFrame:
+    """_again: rows beyond the first of their datetime; _new_date: first such row of a date."""
+    same = F.col(DATETIME).eqNullSafe(F.lag(DATETIME).over(w)) & (F.row_number().over(w) > 1)
+    date = F.coalesce(F.col(DATETIME).cast("date"), F.lit("0001-01-01").cast("date"))
+    last_date = F.last("_date", ignorenulls=True).over(before(w))
+    return (
+        times.withColumn("_again", F.col("n") - F.when(same, 0).otherwise(1))
+        .withColumn("_date", F.when(F.col("_again") > 0, date))
+        .withColumn("_new_date", (F.col("_again") > 0) & ~F.col("_date").eqNullSafe(last_date))
+    )
+
+
+def _pass_by_time(bars: DataFrame, wanted: Collection[str]) -> DataFrame:
     """Copies of a datetime are merged first, then years, then the whole symbol."""
     rows = bars.select(
         SYMBOL,
@@ -307,17 +308,34 @@ def _variation_issues(bars: DataFrame) -> DataFrame:
         F.col("close").alias("first"),
         F.col("close").alias("last"),
     )
-    copies = _fold_changes(rows, [SYMBOL, "_year", DATETIME, "_block"], [SEQ])
-    years = _fold_changes(copies, [SYMBOL, "_year"], [DATETIME, "_block"])
-    total = _fold_changes(years, [SYMBOL], ["_year"])
-    found = _issue(
-        "vr_extreme_variation",
-        F.col("hits"),
-        (F.col("hits") > 0) & (F.col("n") >= 2),
-        "close",
-        metric=F.col("largest"),
+    times = _fold_changes(rows, [SYMBOL, "_year", DATETIME, "_block"], [SEQ])
+    year, along = [SYMBOL, "_year"], [DATETIME, "_block"]
+    marked = _mark_copies(times, Window.partitionBy(*year).orderBy(*along))
+    years = _fold_changes(
+        marked,
+        year,
+        along,
+        F.sum("_again").alias("again"),
+        flag_count(F.col("_new_date")).alias("dates"),
+    )
+    total = _fold_changes(
+        years, [SYMBOL], ["_year"], F.sum("again").alias("again"), F.sum("dates").alias("dates")
     )
-    return _as_rows(total, [found])
+    hits = F.col("hits")
+    found = {
+        "vr_date_duplicate": _issue("vr_date_duplicate", F.col("again"), metric=F.col("dates")),
+        "vr_extreme_variation": _issue(
+            "vr_extreme_variation",
+            hits,
+            (hits > 0) & (F.col("n") >= 2),
+            "close",
+            metric=F.col("largest"),
+        ),
+    }
+    return _as_rows(total, [issue for rule, issue in found.items() if rule in wanted])
+
+
+# --- outliers --------------------------------------------------------------
 
 
 def iqr_bounds(counts: DataFrame) -> DataFrame:
@@ -330,10 +348,10 @@ def iqr_bounds(counts: DataFrame) -> DataFrame:
 
 
 def _outlier_issues(bars: DataFrame) -> DataFrame:
+    # A single row lies on both quartiles, so no rule on the number of rows is needed.
     counts = value_counts(bars, [SYMBOL], [*OHLC, "volume"])
     value = F.col("value")
     outside = (value < F.col("lower")) | (value > F.col("upper"))
-    rows = bars.groupBy(SYMBOL).agg(F.count("*").alias("rows"))
     per_field = (
         counts.join(iqr_bounds(counts), [SYMBOL, "field"])
         .groupBy(SYMBOL, "field")
@@ -342,11 +360,12 @@ def _outlier_issues(bars: DataFrame) -> DataFrame:
             F.max("lower").alias("lower"),
             F.max("upper").alias("upper"),
         )
-        .where(F.col("hits") > 0)
-        .join(rows.where(F.col("rows") >= 2), SYMBOL, "left_semi")
     )
     found = _issue(
-        "vr_iqr_outlier", F.col("hits"), field=F.col("field"), metric=F.col("lower"),
+        "vr_iqr_outlier",
+        F.col("hits"),
+        field=F.col("field"),
+        metric=F.col("lower"),
         metric_2=F.col("upper"),
     )
     return _as_rows(per_field, [found])
@@ -364,16 +383,12 @@ def issues(bars: DataFrame, only: Collection[str] | None = None) -> DataFrame:
     unknown = wanted - set(DATA_RULES)
     if unknown:
         raise ValueError(f"not rules on bars: {sorted(unknown)}")
-    in_rows = {r for r, _ in row_rules()} | {"vr_min_rows", "vr_volume_zero_share"}
+    by_time = {"vr_date_duplicate", "vr_extreme_variation"}
     branches = []
-    if wanted & in_rows:
-        branches.append(_row_issues(bars, wanted))
-    if wanted & set(_ORDER_RULES):
-        branches.append(_order_issues(bars, wanted))
-    if "vr_date_duplicate" in wanted:
-        branches.append(_duplicate_issues(bars))
-    if "vr_extreme_variation" in wanted:
-        branches.append(_variation_issues(bars))
+    if wanted - by_time - {"vr_iqr_outlier"}:
+        branches.append(_pass_by_ingest(bars, wanted))
+    if wanted & by_time:
+        branches.append(_pass_by_time(bars, wanted))
     if "vr_iqr_outlier" in wanted:
         branches.append(_outlier_issues(bars))
     found = branches[0]
