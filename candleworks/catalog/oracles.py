@@ -911,12 +911,15 @@ for _name, _metric in _METRIC_NAMES.items():
     SQL[_name] = _with(
         _PAIRS, f"SELECT symbol, model, {_METRICS[_metric]} AS {_metric} FROM moved GROUP BY symbol, model"
     )
+_EXACT_SCORES = "SELECT symbol, model, " + ", ".join(
+    f"{v[len('round('):v.rindex(',')]} AS {k}" for k, v in _METRICS.items()
+) + " FROM moved GROUP BY symbol, model"
 _SCORES = "SELECT symbol, model, " + ", ".join(f"{v} AS {k}" for k, v in _METRICS.items()) + (
     " FROM moved GROUP BY symbol, model"
 )
 SQL["fm_all"] = _with(_PAIRS, _SCORES)
 SQL["fm_compare_models"] = _with(
-    _PAIRS + f",\nscores AS ({_SCORES})",
+    _PAIRS + f",\nscores AS ({_EXACT_SCORES})",
     "\nUNION ALL ".join(
         f"SELECT symbol, '{m}' AS metric, arg_min(model, row({sign}{m}, model)) AS best_model, "
         f"round({best}({m}), 4) AS value FROM scores GROUP BY symbol"

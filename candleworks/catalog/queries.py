@@ -25,7 +25,7 @@ from candleworks.operators import rules
 from candleworks.operators.correlation import correlation
 from candleworks.plans import daily, reports
 from candleworks.schema import BAR_COLUMNS, CORRECTED, ORIGINAL, SEQ, SYMBOL
-from candleworks.session import fresh_folder
+from candleworks.session import fresh_folder, staged
 from candleworks.sources import payloads, store, universe
 from candleworks.streaming import bars as streams
 
@@ -118,11 +118,9 @@ def _stored(spark: SparkSession, sf_dir: str) -> store.BarStore:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _STORES:
         target = store.BarStore(spark, fresh_folder(spark, "store"))
-        bars = fx.mixed_bars(spark, sf_dir)
+        bars = staged(fx.mixed_bars(spark, sf_dir), "bars")
         critical = [r for r in rules.DATA_RULES if r in _ROW_CRITICAL]
-        folder = fresh_folder(spark, "issues")
-        rules.issues(bars, critical).write.parquet(folder)
-        found = spark.read.parquet(folder)
+        found = staged(rules.issues(bars, critical), "issues")
         corrected = fix.corrected_layer(rules.accepted(bars, found))
         target.save(bars, corrected, found, csv=True)
         _STORES[key] = target.root
@@ -467,8 +465,8 @@ def vr_summary(spark, sf_dir):
 @query
 def vr_gate(spark, sf_dir):
     """Accepted symbols with their rows, rejected ones with their reasons."""
-    bars = fx.mixed_bars(spark, sf_dir)
-    found = rules.issues(bars)
+    bars = staged(fx.mixed_bars(spark, sf_dir), "bars")
+    found = staged(rules.issues(bars), "issues")
     accepted = rules.accepted(bars, found).groupBy(SYMBOL).agg(F.count("*").alias("n_rows"))
     good = accepted.select(SYMBOL, F.lit(True).alias("accepted"), "n_rows", F.lit("").alias("reasons"))
     bad = rules.rejects(found).select(
@@ -875,7 +873,7 @@ def fc_fit_with_holidays(spark, sf_dir):
 def pipe_daily(spark, sf_dir):
     """A dry run over all requested symbols."""
     delivered = fx.mixed_bars(spark, sf_dir).withColumn("priority", F.lit(1))
-    return daily.run_daily(spark, _requested(spark, sf_dir), delivered).status.withColumn(
+    return daily.run_daily(_requested(spark, sf_dir), delivered).status.withColumn(
         "reasons", F.coalesce("reasons", F.lit(""))
     )
 
@@ -887,9 +885,7 @@ def pipe_batch(spark, sf_dir):
     batch = bars.where(fx.brand_number() % 2 == 0).withColumn("priority", F.lit(1))
     single = bars.withColumn("priority", F.lit(2))
     target = store.BarStore(spark, fresh_folder(spark, "batch"))
-    result = daily.run_daily(
-        spark, _requested(spark, sf_dir), batch.unionByName(single), target
-    )
+    result = daily.run_daily(_requested(spark, sf_dir), batch.unionByName(single), target)
     stored = target.bars(CORRECTED).groupBy(SYMBOL).agg(F.count("*").alias("stored"))
     return (
         result.status.join(stored, SYMBOL, "left")
@@ -906,7 +902,7 @@ def pipe_bulk_collect(spark, sf_dir):
 def pipe_run_stats(spark, sf_dir):
     delivered = fx.mixed_bars(spark, sf_dir).withColumn("priority", F.lit(1))
     return daily.run_statistics(
-        daily.run_daily(spark, _requested(spark, sf_dir), delivered).status
+        daily.run_daily(_requested(spark, sf_dir), delivered).status
     )
 
 

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candleworks.operators import corrections, rules
 from candleworks.operators.relational import first_provider
 from candleworks.schema import SYMBOL
-from candleworks.session import fresh_folder
+from candleworks.session import staged
 from candleworks.sources.store import BarStore
 
 SUCCESSFUL, FAILED, SKIPPED = "successful", "failed", "skipped"
@@ -70,7 +70,6 @@ def run_statistics(status: DataFrame) -> DataFrame:
 
 
 def run_daily(
-    spark: SparkSession,
     requested: DataFrame,
     delivered: DataFrame,
     store: BarStore | None = None,
@@ -79,13 +78,11 @@ def run_daily(
     """Choose providers, validate, repair and store.
 
     ``delivered`` holds bars with a provider ``priority``. Without a store this is a dry
-    run. The issues are used by several outputs, so they are written once and read back.
+    run. The chosen bars and the issues are used several times, so they are staged.
     """
     bars = first_provider(delivered).join(requested.select(SYMBOL).distinct(), SYMBOL, "left_semi")
-    bars = bars.drop("priority")
-    folder = fresh_folder(spark, "issues")
-    rules.issues(bars).write.parquet(folder)
-    found = spark.read.parquet(folder)
+    bars = staged(bars.drop("priority"), "chosen")
+    found = staged(rules.issues(bars), "issues")
     corrected = corrections.corrected_layer(rules.accepted(bars, found))
     if store is not None:
         store.save(bars, corrected, found, backup=backup)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: str = "8", app: str = "candleworks", **conf: str) -> SparkSession:
@@ -39,6 +39,17 @@ def work_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def staged(frame: DataFrame, label: str) -> DataFrame:
+    """The frame written to a table of the work root and read back.
+
+    For results that several outputs use: they are computed once, and a lost executor
+    costs a new scan of that table instead of the whole lineage.
+    """
+    path = fresh_folder(frame.sparkSession, label)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.parquet(path)
+
+
 def fresh_folder(spark: SparkSession, label: str) -> str:
     """A folder name under the work root that no other run uses."""
     return f"{work_root(spark)}/{label}-{uuid.uuid4().hex}"
