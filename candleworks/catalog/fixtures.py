@@ -67,9 +67,10 @@ def symbols(spark: SparkSession, sf_dir: str) -> DataFrame:
 BRANDS = [f"Brand#{i}" for i in range(1, 26)]
 
 
-def dirty_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """bars_by_brand with planted faults, copies and disorder."""
-    every = lambda n: F.col(SEQ) % n == 0
+def dirty_bars(spark: SparkSession, sf_dir: str, only: Column | None = None) -> DataFrame:
+    """bars_by_brand with planted faults, copies and disorder (where ``only`` holds)."""
+    hit = F.lit(True) if only is None else only
+    every = lambda n: hit & (F.col(SEQ) % n == 0)
     broken = bars_by_brand(spark, sf_dir).withColumns(
         {
             "open": F.when(every(211), -F.col("open")).otherwise(F.col("open")),
@@ -92,8 +93,7 @@ def dirty_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mixed_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dirty bars of the odd brands, clean bars of the even ones."""
-    odd = brand_number() % 2 == 1
-    return dirty_bars(spark, sf_dir).where(odd).unionByName(bars_by_brand(spark, sf_dir).where(~odd))
+    return dirty_bars(spark, sf_dir, brand_number() % 2 == 1)
 
 
 def raw_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
