@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from candleworks.functions.columns import change, ratio
+from candleworks.functions.joins import spread_join
 from candleworks.functions.quantiles import exact_quantiles, value_counts
 from candleworks.functions.series import (
     own_rows,
@@ -257,7 +258,7 @@ def volume_anomalies(bars: DataFrame, limit: float = ANOMALY_Z) -> DataFrame:
     z = ratio(F.col("volume") - F.col("_mean"), "_std")
     return (
         bars.select(SYMBOL, DATETIME, "volume")
-        .join(stats, SYMBOL)
+        .transform(spread_join, stats, [SYMBOL], DATETIME)
         .select(SYMBOL, DATETIME, "volume", z.alias("zscore"))
         .where(F.abs("zscore") > limit)
     )

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candleworks.functions.columns import ratio
+from candleworks.functions.joins import spread_join
 from candleworks.operators import metrics
 from candleworks.operators.relational import forecast_with_actual
 from candleworks.schema import DATETIME, SYMBOL
@@ -205,7 +206,7 @@ def fit(training: DataFrame, model: Model = Model()) -> DataFrame:
         F.max(F.abs("y")).alias("y_scale"),
     )
     scaled = F.coalesce(ratio("y", "y_scale"), F.lit(0.0))
-    rows = training.join(ranges, SYMBOL).select(
+    rows = spread_join(training, ranges, [SYMBOL], "ds").select(
         SYMBOL, F.concat(_design(model), F.array(scaled)).alias("row")
     )
     sums = (
@@ -251,9 +252,8 @@ def future_frame(
 
 def predict(frame: DataFrame, fitted: DataFrame, model: Model = Model()) -> DataFrame:
     """(symbol, ds, yhat, yhat_lower, yhat_upper) for the rows of ``frame``."""
-    joined = frame.join(
-        fitted.withColumnsRenamed({"start_day": "_start", "days": "_length"}), SYMBOL
-    )
+    coefficients = fitted.withColumnsRenamed({"start_day": "_start", "days": "_length"})
+    joined = spread_join(frame, coefficients, [SYMBOL], "ds")
     products = F.zip_with(_design(model), "coefficients", lambda x, b: x * b)
     fit_value = F.aggregate(products, F.lit(0.0), lambda a, x: a + x) * F.col("y_scale")
     reach = F.col("sigma") * F.col("y_scale") * INTERVAL_80

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from candleworks.functions.columns import at_midnight, exchange_of
+from candleworks.functions.joins import spread_join
 from candleworks.schema import BAR_COLUMNS, DATETIME, OHLC, PRICES, SYMBOL
 
 # Look-back periods that a compact answer (100 points) covers.
@@ -67,7 +68,8 @@ def compact(bars: DataFrame, period: str = "3mo") -> DataFrame:
 def look_back(bars: DataFrame, days: int) -> DataFrame:
     """Rows of the last ``days`` days before each symbol's newest row."""
     newest = bars.groupBy(SYMBOL).agg(F.max("date").alias("_newest"))
-    return bars.join(newest, SYMBOL).where(F.col("date") > F.date_sub("_newest", days)).drop("_newest")
+    joined = spread_join(bars, newest, [SYMBOL], DATETIME)
+    return joined.where(F.col("date") > F.date_sub("_newest", days)).drop("_newest")
 
 
 def latest_price(bars: DataFrame) -> DataFrame:

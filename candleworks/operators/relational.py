@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from candleworks.functions.series import padded, timeline
 from candleworks.functions.columns import change
+from candleworks.functions.joins import spread_join
+from candleworks.functions.series import padded, timeline
 from candleworks.schema import CORRECTED, DATETIME, ORIGINAL, SEQ, SYMBOL
 
 # A wider pivot than this is a matrix job: see operators.correlation.
@@ -81,7 +82,7 @@ def missing_symbols(requested: DataFrame, bars: DataFrame) -> DataFrame:
 def first_provider(bars: DataFrame) -> DataFrame:
     """Per symbol the rows of the provider with the lowest ``priority`` that delivered any."""
     best = bars.groupBy(SYMBOL).agg(F.min("priority").alias("priority"))
-    return bars.join(best, [SYMBOL, "priority"], "left_semi")
+    return spread_join(bars, best, [SYMBOL, "priority"], SEQ, "left_semi")
 
 
 def dedup_keep_last(bars: DataFrame) -> DataFrame:

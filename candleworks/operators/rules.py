@@ -2,7 +2,7 @@
 
 Raw bars may hold any number of copies and one symbol may hold a large share of
 all rows, so no rule sorts a whole symbol. Row rules are plain counts. Rules that
-compare neighbours run inside blocks (of ingest order, or of years) and add the
+compare neighbours run inside blocks (of ingest order, or of months) and add the
 step between a block's last row and the next block's first one afterwards.
 """
 
@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from candleworks.functions.columns import change, days_between, flag_count, is_weekend, ratio
+from candleworks.functions.joins import spread_join
 from candleworks.functions.quantiles import exact_quantiles, value_counts
 from candleworks.functions.series import before
 from candleworks.schema import BAR_COLUMNS, DATETIME, OHLC, PRICES, SEQ, SYMBOL
@@ -294,12 +295,12 @@ def _mark_copies(times: DataFrame, w) -> DataFrame:
 
 
 def _pass_by_time(bars: DataFrame, wanted: Collection[str]) -> DataFrame:
-    """Copies of a datetime are merged first, then years, then the whole symbol."""
+    """Copies of a datetime are merged first, then months, then the whole symbol."""
     rows = bars.select(
         SYMBOL,
         SEQ,
         # A row without datetime sorts behind all others.
-        F.coalesce(F.year(DATETIME), F.lit(10_000)).alias("_year"),
+        F.coalesce(F.year(DATETIME) * 12 + F.month(DATETIME), F.lit(200_000)).alias("_month"),
         DATETIME,
         F.floor(F.col(SEQ) / SEQ_BLOCK).alias("_block"),
         F.lit(1).alias("n"),
@@ -308,18 +309,18 @@ def _pass_by_time(bars: DataFrame, wanted: Collection[str]) -> DataFrame:
         F.col("close").alias("first"),
         F.col("close").alias("last"),
     )
-    times = _fold_changes(rows, [SYMBOL, "_year", DATETIME, "_block"], [SEQ])
-    year, along = [SYMBOL, "_year"], [DATETIME, "_block"]
-    marked = _mark_copies(times, Window.partitionBy(*year).orderBy(*along))
-    years = _fold_changes(
+    times = _fold_changes(rows, [SYMBOL, "_month", DATETIME, "_block"], [SEQ])
+    month, along = [SYMBOL, "_month"], [DATETIME, "_block"]
+    marked = _mark_copies(times, Window.partitionBy(*month).orderBy(*along))
+    months = _fold_changes(
         marked,
-        year,
+        month,
         along,
         F.sum("_again").alias("again"),
         flag_count(F.col("_new_date")).alias("dates"),
     )
     total = _fold_changes(
-        years, [SYMBOL], ["_year"], F.sum("again").alias("again"), F.sum("dates").alias("dates")
+        months, [SYMBOL], ["_month"], F.sum("again").alias("again"), F.sum("dates").alias("dates")
     )
     hits = F.col("hits")
     found = {
@@ -353,7 +354,7 @@ def _outlier_issues(bars: DataFrame) -> DataFrame:
     value = F.col("value")
     outside = (value < F.col("lower")) | (value > F.col("upper"))
     per_field = (
-        counts.join(iqr_bounds(counts), [SYMBOL, "field"])
+        spread_join(counts, iqr_bounds(counts), [SYMBOL, "field"], "value")
         .groupBy(SYMBOL, "field")
         .agg(
             F.sum(F.when(outside, F.col("n")).otherwise(0)).alias("hits"),
@@ -475,7 +476,7 @@ def _duplicate_rows(bars: DataFrame, out: list[str]) -> DataFrame:
     )
     return (
         bars.select(SYMBOL, SEQ, DATETIME)
-        .join(repeated, [SYMBOL, DATETIME])
+        .transform(spread_join, repeated, [SYMBOL, DATETIME], SEQ)
         .where(F.col(SEQ) > F.col("_first"))
         .withColumns(
             {
@@ -533,7 +534,7 @@ def summary(symbols: DataFrame, found: DataFrame) -> DataFrame:
 def accepted(bars: DataFrame, found: DataFrame) -> DataFrame:
     """Bars of symbols without a critical issue."""
     critical = found.where(F.col("severity") == CRITICAL).select(SYMBOL).distinct()
-    return bars.join(critical, SYMBOL, "left_anti")
+    return spread_join(bars, critical, [SYMBOL], SEQ, "left_anti")
 
 
 def rejects(found: DataFrame) -> DataFrame:

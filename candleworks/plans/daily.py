@@ -7,9 +7,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from candleworks.functions.joins import spread_join
 from candleworks.operators import corrections, rules
 from candleworks.operators.relational import first_provider
-from candleworks.schema import SYMBOL
+from candleworks.schema import SEQ, SYMBOL
 from candleworks.session import staged
 from candleworks.sources.store import BarStore
 
@@ -80,7 +81,8 @@ def run_daily(
     ``delivered`` holds bars with a provider ``priority``. Without a store this is a dry
     run. The chosen bars and the issues are used several times, so they are staged.
     """
-    bars = first_provider(delivered).join(requested.select(SYMBOL).distinct(), SYMBOL, "left_semi")
+    asked = requested.select(SYMBOL).distinct()
+    bars = spread_join(first_provider(delivered), asked, [SYMBOL], SEQ, "left_semi")
     bars = staged(bars.drop("priority"), "chosen")
     found = staged(rules.issues(bars), "issues")
     corrected = corrections.corrected_layer(rules.accepted(bars, found))
