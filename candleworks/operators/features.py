@@ -1,8 +1,8 @@
 """Technical indicators along each symbol's price series.
 
-Every indicator is a Feature: columns that look at single steps, and columns on
-windows over those. ``apply_features`` merges the features asked for, so that they
-share one sort. On frames split with ``split_long`` use a lookback of at least
+Every indicator is a Feature: columns that look at single steps, windows over those
+(``rolls``, one stage after the other) and the final values. ``apply_features`` merges the
+features asked for, so that they share one sort and no window is computed twice. On frames split with ``split_long`` use a lookback of at least
 ``needed_lookback(features)`` rows.
 """
 
@@ -32,9 +32,10 @@ RETURN_PERIODS = (1, 5, 10)
 
 @dataclass
 class Feature:
-    """``steps`` and ``values`` are functions of the window along the series."""
+    """``steps``, ``rolls`` and ``values`` are functions of the window along the series."""
 
     steps: dict = field(default_factory=dict)
+    rolls: list[dict] = field(default_factory=list)
     values: dict = field(default_factory=dict)
     sums: tuple[str, ...] = ()
     ema: dict = field(default_factory=dict)
@@ -42,19 +43,56 @@ class Feature:
     lookback: int = 0
 
 
-def _previous(name: str):
-    return lambda w: F.lag(name).over(w)
-
-
 def _delta(name: str):
     return lambda w: F.col(name) - F.lag(name).over(w)
 
 
-def sma(periods: Sequence[int] = SMA_PERIODS) -> Feature:
-    def mean(n: int):
-        return lambda w: rolling(F.avg, "close", w, n)
+def _roll(fn, name: str, n: int):
+    return lambda w: rolling(fn, name, w, n)
+
+
+# Longer sums than this are put together from shorter ones.
+_LONGEST_DIRECT = 10
+
 
-    return Feature(values={f"sma_{n}": mean(n) for n in periods}, lookback=max(periods) - 1)
+def sma(periods: Sequence[int] = SMA_PERIODS) -> Feature:
+    """Means of the last n closes.
+
+    Spark adds up a sliding frame anew for every row. A long sum is therefore made of
+    equal shorter ones: the sum of 200 is four sums of 50, which are five sums of 10.
+    A missing close makes every sum over it null.
+    """
+    needed: dict[int, int | None] = {}
+    todo = sorted(set(periods), reverse=True)
+    while todo:
+        n = todo.pop(0)
+        parts = [m for m in range(n // 2, 1, -1) if n % m == 0 and n // m <= _LONGEST_DIRECT]
+        known = [m for m in parts if m in periods]
+        needed[n] = None if n <= _LONGEST_DIRECT or not parts else (known or parts)[0]
+        if needed[n] and needed[n] not in needed:
+            todo = sorted({*todo, needed[n]}, reverse=True)
+
+    def depth(n: int) -> int:
+        return 0 if needed[n] is None else 1 + depth(needed[n])
+
+    def total(n: int):
+        part = needed[n]
+        if part is None:
+            return _roll(F.sum, "close", n)
+
+        def joined(w: WindowSpec) -> Column:
+            sums = F.col(f"_sum_{part}")
+            for k in range(1, n // part):
+                sums = sums + F.lag(f"_sum_{part}", k * part).over(w)
+            return sums
+
+        return joined
+
+    stages = [{} for _ in range(1 + max(depth(n) for n in needed))]
+    for n in needed:
+        stages[depth(n)][f"_sum_{n}"] = total(n)
+    means = {f"sma_{n}": (lambda w, n=n: F.col(f"_sum_{n}") / n) for n in periods}
+    return Feature(rolls=stages, values=means, lookback=max(periods) - 1)
 
 
 def ema(periods: Sequence[int] = EMA_PERIODS) -> Feature:
@@ -66,13 +104,23 @@ def ema(periods: Sequence[int] = EMA_PERIODS) -> Feature:
 def rsi(period: int = 14) -> Feature:
     """Simple averages of gains and losses; the first step counts as no change."""
 
+    def part(sign: int):
+        step = lambda w: F.coalesce(_delta("close")(w) * sign, F.lit(0.0))
+        return lambda w: F.greatest(step(w), F.lit(0.0))
+
     def value(w: WindowSpec) -> Column:
-        gain = rolling(F.avg, F.greatest(F.coalesce("_delta", F.lit(0.0)), F.lit(0.0)), w, period)
-        loss = rolling(F.avg, F.greatest(F.coalesce(-F.col("_delta"), F.lit(0.0)), F.lit(0.0)), w, period)
+        gain, loss = F.col("_mean_gain"), F.col("_mean_loss")
         strength = 100 - 100 / (1 + ratio(gain, loss))
         return F.when((loss == 0) & (gain > 0), 100.0).otherwise(strength)
 
-    return Feature(steps={"_delta": _delta("close")}, values={"rsi": value}, lookback=period)
+    return Feature(
+        steps={"_gain": part(1), "_loss": part(-1)},
+        rolls=[
+            {"_mean_gain": _roll(F.avg, "_gain", period), "_mean_loss": _roll(F.avg, "_loss", period)}
+        ],
+        values={"rsi": value},
+        lookback=period,
+    )
 
 
 def macd(fast: int = 12, slow: int = 26, signal: int = 9) -> Feature:
@@ -92,14 +140,21 @@ def roc(period: int = 12) -> Feature:
 
 
 def bollinger(period: int = 20, deviations: float = 2) -> Feature:
-    mean = lambda w: rolling(F.avg, "close", w, period)
-    reach = lambda w: rolling(F.stddev_samp, "close", w, period) * deviations
+    def band(side: int):
+        return lambda w: F.col("_band_mean") + F.col("_band_std") * (deviations * side)
+
     return Feature(
+        rolls=[
+            {
+                "_band_mean": _roll(F.avg, "close", period),
+                "_band_std": _roll(F.stddev_samp, "close", period),
+            }
+        ],
         values={
-            "bb_middle": mean,
-            "bb_upper": lambda w: mean(w) + reach(w),
-            "bb_lower": lambda w: mean(w) - reach(w),
-            "bb_width": lambda w: ratio((mean(w) + reach(w)) - (mean(w) - reach(w)), mean(w)),
+            "bb_middle": lambda w: F.col("_band_mean"),
+            "bb_upper": band(1),
+            "bb_lower": band(-1),
+            "bb_width": lambda w: ratio(band(1)(w) - band(-1)(w), "_band_mean"),
         },
         lookback=period - 1,
     )
@@ -114,7 +169,7 @@ def atr(period: int = 14) -> Feature:
 
     return Feature(
         steps={"_range": true_range},
-        values={"atr": lambda w: rolling(F.avg, "_range", w, period)},
+        values={"atr": _roll(F.avg, "_range", period)},
         lookback=period,
     )
 
@@ -210,6 +265,10 @@ def apply_features(bars: DataFrame, features: Sequence[Feature]) -> DataFrame:
     frame = bars.withColumns(steps) if steps else bars
     if sums:
         frame = with_carry(frame, sums, F.sum)
+    rolled = [k for f in features for stage in f.rolls for k in stage]
+    for level in range(max(len(f.rolls) for f in features)):
+        stage = [f.rolls[level] for f in features if level < len(f.rolls)]
+        frame = frame.withColumns({k: fn(w) for columns in stage for k, fn in columns.items()})
     values = {k: _value(frame, spec, w) for f in features for k, spec in f.values.items()}
     if values:
         frame = frame.withColumns(values)
@@ -222,7 +281,7 @@ def apply_features(bars: DataFrame, features: Sequence[Feature]) -> DataFrame:
             frame = frame.withColumn(name, F.col("_fast") - F.col("_slow"))
             frame = with_ema(frame, {f"{name}_signal": (name, span)})
             frame = frame.withColumn(f"{name}_hist", F.col(name) - F.col(f"{name}_signal"))
-    helpers = [*steps, *[f"_carry_{k}" for k in sums], "_fast", "_slow"]
+    helpers = [*steps, *rolled, *[f"_carry_{k}" for k in sums], "_fast", "_slow"]
     return own_rows(frame.drop(*helpers))
 
 
