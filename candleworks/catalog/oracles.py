@@ -617,6 +617,16 @@ FROM gaps GROUP BY symbol""",
 SQL["dq_gaps_filled"] = _with(
     _STORED, "SELECT symbol, count(*) FILTER (is_filled) AS gaps_filled FROM corrected GROUP BY symbol"
 )
+SQL["dq_forecast_readiness"] = _with(
+    _BARS,
+    """
+SELECT symbol, n_rows, largest_gap, positive_close,
+       n_rows >= 252 AND largest_gap <= 7 AND positive_close AS ready
+FROM (SELECT symbol, count(*) AS n_rows, CAST(max(g) AS INTEGER) AS largest_gap,
+             min(close) > 0 AS positive_close
+      FROM (SELECT *, date_diff('day', lag(date) OVER (PARTITION BY symbol ORDER BY date), date) AS g FROM bars)
+      GROUP BY symbol)""",
+)
 SQL["dq_null_counts"] = _with(
     _DIRTY,
     "SELECT symbol, "

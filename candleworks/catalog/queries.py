@@ -557,6 +557,11 @@ def dq_gaps_filled(spark, sf_dir):
     return dq.gaps_filled(_stored(spark, sf_dir).metadata())
 
 
+@query
+def dq_forecast_readiness(spark, sf_dir):
+    return dq.forecast_readiness(fx.bars_by_brand(spark, sf_dir))
+
+
 @query
 def dq_null_counts(spark, sf_dir):
     return dq.null_counts(fx.dirty_bars(spark, sf_dir))
@@ -938,7 +943,7 @@ def _drained(stream: DataFrame, target: str, checkpoint: str, mode: str = "appen
 
 
 def _landed_stream(spark, sf_dir, label):
-    """The dirty bars landed as files and read as a stream."""
+    """The dirty bars landed as files and read as a stream, two files at a time."""
     landing = fresh_folder(spark, label)
     fx.dirty_bars(spark, sf_dir).repartition(4, SYMBOL).write.parquet(landing)
     schema = spark.read.parquet(landing).schema
@@ -949,9 +954,9 @@ def _landed_stream(spark, sf_dir, label):
 def st_ingest_upsert(spark, sf_dir):
     rows = _landed_stream(spark, sf_dir, "landing")
     target = store.BarStore(spark, fresh_folder(spark, "stream-store"))
+    # The files are not in time order, so copies are left to the merge, which keeps no state.
     started = (
-        streams.first_copies(rows, "36500 days")
-        .writeStream.foreachBatch(streams.upsert_into(target, ORIGINAL))
+        rows.writeStream.foreachBatch(streams.upsert_into(target, ORIGINAL))
         .option("checkpointLocation", fresh_folder(spark, "stream-state"))
         .trigger(availableNow=True)
         .start()

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from candleworks.functions.columns import is_weekend, time_of_day
 from candleworks.functions.series import before, so_far
 from candleworks.operators.projections import normalize_types
+from candleworks.operators.quality import is_sorted
 from candleworks.schema import BAR_COLUMNS, DATETIME, OHLC, PRICES, SEQ, SYMBOL
 
 # Fixed value: the longest run of missing days that is filled.
@@ -35,8 +36,6 @@ def sort_flags(bars: DataFrame) -> DataFrame:
 
     Spark tables have no row order to repair, so only the finding remains.
     """
-    from candleworks.operators.quality import is_sorted
-
     return is_sorted(bars).select(
         SYMBOL, F.col("is_sorted").alias("was_sorted"), (~F.col("is_sorted")).alias("out_of_order")
     )
@@ -52,11 +51,13 @@ def _missing_after(calendar: str, limit: int | None) -> Column:
     days = F.sequence(F.date_add("date", 1), F.date_sub(nxt, 1))
     if calendar == "weekdays":
         days = F.filter(days, lambda d: ~is_weekend(d))
-    longest = None if limit is None else (limit if calendar == "all_days" else limit + 2 * (limit // 5 + 1))
-    worth = gap >= 1 if longest is None else gap.between(1, longest)
     none = F.array().cast("array<date>")
-    days = F.coalesce(F.when(worth, days), none)
-    return days if limit is None else F.when(F.size(days) <= limit, days).otherwise(none)
+    if limit is None:
+        return F.coalesce(F.when(gap >= 1, days), none)
+    # Weekends may lie between the missing weekdays.
+    longest = limit if calendar == "all_days" else limit + 2 * (limit // 5 + 1)
+    days = F.coalesce(F.when(gap.between(1, longest), days), none)
+    return F.when(F.size(days) <= limit, days).otherwise(none)
 
 
 def missing_runs(bars: DataFrame, calendar: str = "all_days") -> DataFrame:

@@ -87,16 +87,15 @@ def prepare(bars: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 
 def with_holidays(frame: DataFrame, country: str, date_column: str = DATETIME) -> DataFrame:
     """Add a 0/1 column per fixed-date holiday of the country (see holiday_columns)."""
-    spark = frame.sparkSession
-    days = FIXED_HOLIDAYS[country]
-    names = holiday_columns(country)
-    table = spark.createDataFrame(list(zip(days.values(), names)), "_day string, _name string")
-    wide = table.groupBy("_day").pivot("_name", names).agg(F.max(F.lit(1.0)))
-    # The table has one row per holiday of a country.
-    joined = frame.withColumn("_day", F.date_format(date_column, "MM-dd")).join(
-        F.broadcast(wide), "_day", "left"
-    )
-    return joined.drop("_day").na.fill(0.0, names)
+    day = F.date_format(date_column, "MM-dd")
+    dates = zip(holiday_columns(country), FIXED_HOLIDAYS[country].values())
+    return frame.withColumns({name: (day == date).cast("double") for name, date in dates})
+
+
+def with_holiday_table(frame: DataFrame, holidays: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The same for movable holidays, from a table (date, holiday) with the given names."""
+    wide = holidays.groupBy("date").pivot("holiday", list(names)).agg(F.max(F.lit(1.0)))
+    return spread_join(frame, wide, ["date"], SYMBOL, "left").na.fill(0.0, list(names))
 
 
 def holiday_columns(country: str) -> list[str]:
@@ -170,9 +169,8 @@ def _solve(model: Model):
         weight = np.full(size, 1 / model.seasonality_prior**2)
         weight[trend] = 1 / 25.0
         for _ in range(20):
-            weight[deltas] = 1 / (
-                model.changepoint_prior * np.maximum(np.abs(beta[deltas]), 1e-6)
-            ) if beta.any() else 1 / model.changepoint_prior**2
+            size_now = np.maximum(np.abs(beta[deltas]), 1e-6) if beta.any() else model.changepoint_prior
+            weight[deltas] = 1 / (model.changepoint_prior * size_now)
             new = np.linalg.lstsq(xx + noise * np.diag(weight), xy, rcond=None)[0]
             rest = yy - 2 * new @ xy + new @ xx @ new
             noise = max(rest / max(n, 1), 1e-12)

@@ -142,6 +142,31 @@ def is_sorted(bars: DataFrame) -> DataFrame:
     return blocks.groupBy(SYMBOL).agg(whole.alias("is_sorted"))
 
 
+# Rows and gap that a series needs before a forecast.
+READY_ROWS = 252
+READY_GAP_DAYS = 7
+
+
+def forecast_readiness(bars: DataFrame) -> DataFrame:
+    """(symbol, n_rows, largest_gap, positive_close, ready): whether a forecast makes sense."""
+    largest = gaps(bars).groupBy(SYMBOL).agg(F.max("gap_days").alias("_gap"))
+    counted = bars.groupBy(SYMBOL).agg(
+        F.count("*").alias("n_rows"), F.coalesce(F.min("close") > 0, F.lit(False)).alias("positive_close")
+    )
+    enough = (F.col("n_rows") >= READY_ROWS) & (F.col("largest_gap") <= READY_GAP_DAYS)
+    return (
+        counted.join(largest, SYMBOL, "left")
+        .withColumn("largest_gap", F.coalesce("_gap", F.lit(1)))
+        .select(
+            SYMBOL,
+            "n_rows",
+            "largest_gap",
+            "positive_close",
+            (enough & F.col("positive_close")).alias("ready"),
+        )
+    )
+
+
 def original_vs_corrected(layers: DataFrame) -> DataFrame:
     """Rows and price/volume statistics of both layers in one row per symbol."""
     columns = []

@@ -448,6 +448,19 @@ def field_issues(raw: DataFrame, only: Collection[str] | None = None) -> DataFra
     return _as_rows(total.withColumn("absent", absent), chosen)
 
 
+def validate(requested: DataFrame, bars: DataFrame, raw: DataFrame | None = None) -> DataFrame:
+    """All issues of a run: absent symbols, raw fields (if given), then the data rules.
+
+    Symbols whose raw fields have a critical issue skip the data rules.
+    """
+    found = empty_issues(requested, bars)
+    if raw is not None:
+        fields = field_issues(raw)
+        found = found.unionByName(fields)
+        bars = accepted(bars, fields)
+    return found.unionByName(issues(bars))
+
+
 def violations(bars: DataFrame) -> DataFrame:
     """(symbol, ingest_seq, date, rule_id, field): the rows behind the issues."""
     named = [

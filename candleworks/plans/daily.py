@@ -75,16 +75,18 @@ def run_daily(
     delivered: DataFrame,
     store: BarStore | None = None,
     backup: bool = True,
+    raw: DataFrame | None = None,
 ) -> RunResult:
     """Choose providers, validate, repair and store.
 
     ``delivered`` holds bars with a provider ``priority``. Without a store this is a dry
-    run. The chosen bars and the issues are used several times, so they are staged.
+    run. With ``raw`` (the text fields of the same symbols) the field rules run as well.
+    The chosen bars and the issues are used several times, so they are staged.
     """
     asked = requested.select(SYMBOL).distinct()
     bars = spread_join(first_provider(delivered), asked, [SYMBOL], SEQ, "left_semi")
     bars = staged(bars.drop("priority"), "chosen")
-    found = staged(rules.issues(bars), "issues")
+    found = staged(rules.validate(requested, bars, raw), "issues")
     corrected = corrections.corrected_layer(rules.accepted(bars, found))
     if store is not None:
         store.save(bars, corrected, found, backup=backup)

@@ -193,6 +193,23 @@ def test_summary_and_gate(spark):
     assert [r.reasons for r in rules.rejects(issues).collect()] == ["vr_price_nonpositive"]
 
 
+def test_validate_skips_data_rules_of_unreadable_symbols(spark):
+    asked = spark.createDataFrame([("TEST",), ("BAD",), ("NONE",)], "symbol string")
+    bad = frames.bars(spark, frames.base_rows(low={0: -1.0}))
+    bars = bad.unionByName(bad.withColumn("symbol", rules.F.lit("BAD")))
+    fields = {c: "1" for c in rules.BAR_COLUMNS}
+    raw = spark.createDataFrame(
+        [("TEST", fields), ("BAD", {**fields, "open": "x"})],
+        "symbol string, fields map<string,string>",
+    )
+    rows = rules.validate(asked, bars, raw).where("severity = 'CRITICAL'").collect()
+    assert sorted((r.symbol, r.rule_id) for r in rows) == [
+        ("BAD", "vr_non_numeric"),
+        ("NONE", "vr_empty"),
+        ("TEST", "vr_price_nonpositive"),
+    ]
+
+
 def test_unknown_rule(spark):
     with pytest.raises(ValueError):
         rules.issues(frames.bars(spark, []), ["vr_other"])
