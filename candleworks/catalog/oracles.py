@@ -987,7 +987,7 @@ status AS (
   SELECT r.symbol, CASE WHEN m.symbol IS NULL THEN 'skipped' WHEN b.symbol IS NOT NULL THEN 'failed'
            ELSE 'successful' END AS status,
          CASE WHEN m.symbol IS NOT NULL AND b.symbol IS NULL THEN s.n ELSE 0 END AS records,
-         coalesce(b.reasons, '') AS reasons
+         CASE WHEN m.symbol IS NULL THEN 'vr_empty' ELSE coalesce(b.reasons, '') END AS reasons
   FROM (SELECT DISTINCT symbol FROM requested) r
   LEFT JOIN (SELECT DISTINCT symbol FROM mixed) m ON m.symbol = r.symbol
   LEFT JOIN bad b ON b.symbol = r.symbol LEFT JOIN saved s ON s.symbol = r.symbol)"""
