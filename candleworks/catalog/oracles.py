@@ -69,7 +69,10 @@ raw AS (
 
 
 def _filled(source: str, adjusted: str = "adj_close") -> str:
-    """Table ``corrected``: the source with short runs filled by interpolation."""
+    """Table ``corrected``: the source with short runs filled by interpolation.
+
+    A symbol without a filled day keeps its own missing values (nothing is interpolated).
+    """
     cols = ["open", "high", "low", "close"]
     nxt = ", ".join(f"lead({c}) OVER w AS n_{c}" for c in cols)
     line = ", ".join(f"{c} + (n_{c} - {c}) * k / (m + 1) AS {c}" for c in cols)
@@ -87,7 +90,8 @@ placed AS (
 numbered AS (
   SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY date) AS ingest_seq FROM placed),
 known AS (
-  SELECT *, max(CASE WHEN adj_close IS NOT NULL THEN ingest_seq END) OVER
+  SELECT *, bool_or(is_filled) OVER (PARTITION BY symbol) AS any_filled,
+            max(CASE WHEN adj_close IS NOT NULL THEN ingest_seq END) OVER
               (PARTITION BY symbol ORDER BY ingest_seq) AS pa,
             min(CASE WHEN adj_close IS NOT NULL THEN ingest_seq END) OVER
               (PARTITION BY symbol ORDER BY ingest_seq ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS pb
@@ -95,7 +99,7 @@ known AS (
 corrected AS (
   SELECT t.symbol, t.date, t.open, t.high, t.low, t.close,
          CASE WHEN t.adj_close IS NOT NULL THEN t.adj_close
-              WHEN t.ingest_seq - t.pa > 2 THEN NULL
+              WHEN NOT t.any_filled OR t.ingest_seq - t.pa > 2 THEN NULL
               WHEN t.pb IS NULL THEN a.adj_close
               ELSE a.adj_close + (b.adj_close - a.adj_close) * (t.ingest_seq - t.pa) / (t.pb - t.pa)
          END AS adj_close,
