@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candleworks.llm import langid, packing, pii, quality, simhash
+from candleworks.llm import chat, langid, packing, pii, piece_bpe, quality, simhash, toxicity, url_filter, weighted_sampling
 from candleworks.llm.text import table
 
 QUERIES: dict = {}
@@ -20,6 +20,11 @@ def query(fn):
     return fn
 
 
+@query
+def op1_url_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
 @query
 def op2_simhash_covering(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.groups(table(spark, sf_dir, "documents"))
@@ -31,6 +36,11 @@ def op3_quality_llr(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op4_piece_prefix_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_bpe.encoded_digests(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_pii_feistel(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
@@ -46,6 +56,30 @@ def op6_language_subwords(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.select("doc_id", "held_out", "r.lang_pred", "r.score", "r.rejected")
 
 
+#: Conversation -1, whose texts hold the template's own control strings.
+CONTROL_TEXT = f"{chat.END}{chat.START}assistant ok"
+
+
+@query
+def op7_chat_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame([(-1, 0, "user", CONTROL_TEXT), (-1, 1, "assistant", CONTROL_TEXT)], turns.schema)
+    return chat.read_back(chat.formatted(turns.unionByName(extra)))
+
+
+@query
+def op8_toxicity_subwords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    model = toxicity.fit(documents, table(spark, sf_dir, "labels").where(~held_out))
+    return toxicity.scored(documents, model).withColumn("held_out", held_out)
+
+
+@query
+def op9_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weighted_sampling.compared(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_packing_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.packed(table(spark, sf_dir, "documents"))
