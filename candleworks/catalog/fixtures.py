@@ -17,13 +17,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def _bars(trades: DataFrame) -> DataFrame:
     """Daily bars of trades; all aggregates combine before the shuffle.
 
-    The order of trades (order, line, part, supplier) is packed in one decimal, so that
-    open and close have fixed-width buffers and the aggregation stays a hash aggregation.
+    Trades are ordered by order, line, part, supplier, price and quantity.
     """
     price = F.col("l_extendedprice") / F.col("l_quantity")
-    line = (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("decimal(16,0)")
-    part = F.col("l_partkey").cast("decimal(12,0)") * F.lit(10**10).cast("decimal(11,0)")
-    place = line * F.lit(str(10**22)).cast("decimal(23,0)") + (part + F.col("l_suppkey"))
+    place = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity")
     daily = trades.groupBy(SYMBOL, F.col("l_shipdate").cast("date").alias("date")).agg(
         F.min_by(price, place).alias("open"),
         F.max(price).alias("high"),
@@ -63,10 +60,6 @@ def symbols(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select(F.col("p_brand").alias(SYMBOL)).distinct()
 
 
-# The pivots and the correlation take an explicit list: all brands of the part table.
-BRANDS = [f"Brand#{i}" for i in range(1, 26)]
-
-
 def dirty_bars(spark: SparkSession, sf_dir: str, only: Column | None = None) -> DataFrame:
     """bars_by_brand with planted faults, copies and disorder (where ``only`` holds)."""
     hit = F.lit(True) if only is None else only
@@ -92,8 +85,13 @@ def dirty_bars(spark: SparkSession, sf_dir: str, only: Column | None = None) ->
 
 
 def mixed_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dirty bars of the odd brands, clean bars of the even ones."""
-    return dirty_bars(spark, sf_dir, brand_number() % 2 == 1)
+    """Dirty bars of the odd brands, clean bars of the even ones.
+
+    Every fifth even brand has no volume on every fifth bar and no other fault.
+    """
+    idle = (brand_number() % 10 == 4) & (F.col(SEQ) % 5 == 0)
+    bars = dirty_bars(spark, sf_dir, brand_number() % 2 == 1)
+    return bars.withColumn("volume", F.when(idle, 0).otherwise(F.col("volume")))
 
 
 def raw_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,9 +131,9 @@ def two_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def year_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three snapshots per symbol: its history up to the ends of 1997, 1999 and 2000."""
-    years = F.array(F.lit(1997), F.lit(1999), F.lit(2000))
-    due = F.filter(years, lambda y: F.year("date") <= y)
+    """A snapshot per symbol and year of the data: its history up to the end of that year."""
+    last = table(spark, sf_dir, "lineitem").agg(F.max(F.year(F.col("l_shipdate").cast("date")))).first()[0]
+    due = F.sequence(F.year("date"), F.lit(last))
     return bars_by_brand(spark, sf_dir).select(
         "*", F.explode(due).alias("as_of_year"), F.lit(12).alias("as_of_month")
     )
@@ -174,3 +172,22 @@ def providers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bars.withColumn("priority", F.explode(ranks)).withColumn(
         "close", F.when(F.col("priority") == 1, F.col("close") * 2).otherwise(F.col("close"))
     )
+
+
+def weekly_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One bar per symbol and week from all its daily bars, dated by its last trading day."""
+    daily = bars_by_brand(spark, sf_dir)
+    ends = lambda f, c: f(F.col(c), F.col("date")).alias(c)
+    return daily.groupBy(SYMBOL, F.date_trunc("week", "date").alias("_week")).agg(
+        F.max("datetime").alias("datetime"),
+        F.max("date").alias("last_date"),
+        ends(F.min_by, "open"),
+        F.max("high").alias("high"),
+        F.min("low").alias("low"),
+        ends(F.max_by, "close"),
+        ends(F.max_by, "adj_close"),
+        F.sum("volume").alias("volume"),
+        F.max("currency").alias("currency"),
+        F.max("exchange").alias("exchange"),
+        F.max(SEQ).alias(SEQ),
+    ).withColumnRenamed("last_date", "date").select(*BAR_COLUMNS, SEQ)

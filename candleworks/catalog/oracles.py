@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from candleworks.operators.rules import CATALOGUE
-
 # --- shared table expressions ----------------------------------------------
 
 _BARS = """
@@ -50,7 +48,8 @@ mixed AS (
   SELECT symbol, date, open, high, low, close, adj_close, volume, currency, exchange, ingest_seq
   FROM dirty WHERE {_NUMBER} % 2 = 1
   UNION ALL
-  SELECT symbol, date, open, high, low, close, adj_close, volume, currency, exchange, ingest_seq
+  SELECT symbol, date, open, high, low, close, adj_close,
+         CASE WHEN {_NUMBER} % 10 = 4 AND ingest_seq % 5 = 0 THEN 0 ELSE volume END, currency, exchange, ingest_seq
   FROM bars WHERE {_NUMBER} % 2 = 0)"""
 )
 
@@ -119,9 +118,132 @@ layers AS (
   UNION ALL SELECT 'corrected', symbol, date, close, volume FROM corrected)"""
 )
 
-# Bars of the even brands pass the gate; the stored layers hold them.
-_EVEN = _BARS + f""",
-even AS (SELECT * FROM bars WHERE {_NUMBER} % 2 = 0)"""
+
+# --- issues -----------------------------------------------------------------
+
+_IDENTICAL = "abs(open - high) <= 0.01 AND abs(open - low) <= 0.01 AND abs(open - close) <= 0.01"
+_ROW_CONDITIONS: list[tuple[str, str, str]] = [
+    *[("vr_null_critical", c, f"{c} IS NULL") for c in ("open", "high", "low", "close")],
+    *[("vr_null_optional", c, f"{c} IS NULL") for c in ("volume", "adj_close")],
+    *[("vr_price_nonpositive", c, f"{c} <= 0") for c in ("open", "high", "low", "close")],
+    ("vr_volume_negative", "volume", "volume < 0"),
+    ("vr_volume_zero_rows", "volume", "volume = 0"),
+    ("vr_low_gt_open", "", "low > open + 0.01"),
+    ("vr_low_gt_high", "", "low > high + 0.01"),
+    ("vr_low_gt_close", "", "low > close + 0.01"),
+    ("vr_high_lt_open", "", "high + 0.01 < open"),
+    ("vr_high_lt_close", "", "high + 0.01 < close"),
+    ("vr_ohlc_identical", "", _IDENTICAL),
+    ("vr_weekend_trading", "", "isodow(date) >= 6"),
+]
+
+#: rule -> issue type and severity, written out so that a wrong label can't pass.
+_LABELS = {
+    "vr_empty": ("missing_data", "CRITICAL"),
+    "vr_missing_columns": ("missing_data", "CRITICAL"),
+    "vr_non_numeric": ("invalid_type", "CRITICAL"),
+    "vr_volume_type": ("invalid_type", "WARNING"),
+    "vr_null_critical": ("missing_data", "CRITICAL"),
+    "vr_null_optional": ("missing_data", "WARNING"),
+    "vr_min_rows": ("missing_data", "CRITICAL"),
+    "vr_price_nonpositive": ("negative_price", "CRITICAL"),
+    "vr_volume_negative": ("zero_volume", "CRITICAL"),
+    "vr_volume_zero_rows": ("zero_volume", "WARNING"),
+    "vr_low_gt_open": ("price_inconsistency", "WARNING"),
+    "vr_low_gt_high": ("price_inconsistency", "CRITICAL"),
+    "vr_low_gt_close": ("price_inconsistency", "WARNING"),
+    "vr_high_lt_open": ("price_inconsistency", "WARNING"),
+    "vr_high_lt_close": ("price_inconsistency", "WARNING"),
+    "vr_ohlc_identical": ("price_inconsistency", "WARNING"),
+    "vr_date_duplicate": ("date_duplicate", "CRITICAL"),
+    "vr_date_order": ("date_order", "WARNING"),
+    "vr_gap_suspicious": ("date_gap", "WARNING"),
+    "vr_weekend_trading": ("date_gap", "WARNING"),
+    "vr_sparse_series": ("date_gap", "INFO"),
+    "vr_temporal_stats": ("date_gap", "INFO"),
+    "vr_extreme_variation": ("extreme_variation", "WARNING"),
+    "vr_volume_zero_share": ("volume_zero", "WARNING"),
+    "vr_iqr_outlier": ("outlier", "INFO"),
+}
+
+
+def _spec(rule: str, severity: str | None = None) -> str:
+    kind, usual = _LABELS[rule]
+    return f"'{rule}' AS rule_id, '{kind}' AS issue_type, {severity or repr(usual)} AS severity"
+
+
+def _issue_selects(source: str) -> dict[str, str]:
+    """rule -> SELECT of its issues over a bars table (metric columns come last)."""
+    found: dict[str, list[str]] = {}
+    for rule, field, condition in _ROW_CONDITIONS:
+        found.setdefault(rule, []).append(
+            f"SELECT symbol, '{field}' AS field, {_spec(rule)}, count(*) AS affected "
+            f"FROM {source} WHERE {condition} GROUP BY symbol"
+        )
+    selects = {rule: "\nUNION ALL ".join(parts) for rule, parts in found.items()}
+    selects["vr_volume_zero_share"] = f"""
+SELECT symbol, 'volume' AS field,
+       {_spec('vr_volume_zero_share', "CASE WHEN z < n * 0.1 THEN 'WARNING' ELSE 'CRITICAL' END")},
+       z AS affected, round(z / n * 100, 6) AS metric
+FROM (SELECT symbol, count(*) AS n, count(*) FILTER (volume = 0) AS z FROM {source} GROUP BY symbol)
+WHERE z > 0"""
+    selects["vr_date_duplicate"] = f"""
+SELECT symbol, '' AS field, {_spec('vr_date_duplicate')}, count(*) AS affected,
+       round(CAST(count(DISTINCT date) AS DOUBLE), 0) AS metric
+FROM (SELECT symbol, date, row_number() OVER (PARTITION BY symbol, date ORDER BY ingest_seq) AS n FROM {source})
+WHERE n > 1 GROUP BY symbol"""
+    steps = f"""(SELECT symbol, count(*) AS n, count(*) FILTER (g < 0) AS back,
+  count(*) FILTER (g = 1) AS one, count(*) FILTER (g BETWEEN 2 AND 3) AS weekend,
+  count(*) FILTER (g BETWEEN 4 AND 7) AS holiday, count(*) FILTER (g > 7) AS longer, max(g) AS largest
+  FROM (SELECT symbol, date_diff('day', lag(date) OVER (PARTITION BY symbol ORDER BY ingest_seq), date) AS g
+        FROM {source}) GROUP BY symbol)"""
+    selects["vr_date_order"] = (
+        f"SELECT symbol, '' AS field, {_spec('vr_date_order')}, back AS affected FROM {steps} WHERE back > 0"
+    )
+    selects["vr_gap_suspicious"] = f"""
+SELECT symbol, '' AS field, {_spec('vr_gap_suspicious')}, longer AS affected,
+       CAST(largest AS DOUBLE) AS metric FROM {steps} WHERE longer > 0"""
+    selects["vr_sparse_series"] = f"""
+SELECT symbol, '' AS field, {_spec('vr_sparse_series')}, one AS affected,
+       round(one / (n - 1) * 100, 6) AS metric FROM {steps} WHERE one / nullif(n - 1, 0) < 0.6"""
+    selects["vr_temporal_stats"] = f"""
+SELECT symbol, '' AS field, {_spec('vr_temporal_stats')}, one AS affected,
+       CAST(weekend AS DOUBLE) AS metric, CAST(holiday AS DOUBLE) AS metric_2 FROM {steps} WHERE n > 1"""
+    selects["vr_extreme_variation"] = f"""
+SELECT symbol, 'close' AS field, {_spec('vr_extreme_variation')}, count(*) AS affected,
+       round(max(v), 6) AS metric
+FROM (SELECT symbol, abs(close / lag(close) OVER (PARTITION BY symbol ORDER BY date, ingest_seq) - 1) AS v
+      FROM {source}) WHERE v > 0.2 GROUP BY symbol"""
+    outliers = []
+    for field in ("open", "high", "low", "close", "volume"):
+        outliers.append(
+            f"SELECT t.symbol, '{field}' AS field, {_spec('vr_iqr_outlier')}, count(*) AS affected, "
+            f"round(max(lo), 4) AS metric, round(max(hi), 4) AS metric_2 FROM {source} t JOIN "
+            f"(SELECT symbol, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM "
+            f"(SELECT symbol, quantile_cont({field}, 0.25) AS q1, quantile_cont({field}, 0.75) AS q3 "
+            f"FROM {source} GROUP BY symbol)) b USING (symbol) "
+            f"WHERE t.{field} < lo OR t.{field} > hi GROUP BY t.symbol"
+        )
+    selects["vr_iqr_outlier"] = "\nUNION ALL ".join(outliers)
+    return selects
+
+
+_MIXED_ISSUES = (
+    _MIXED
+    + ",\nfound AS ("
+    + "\nUNION ALL ".join(
+        f"(SELECT symbol, rule_id, severity FROM ({s}))" for s in _issue_selects("mixed").values()
+    )
+    + "\nUNION ALL SELECT symbol, 'vr_min_rows', 'CRITICAL' FROM mixed GROUP BY symbol HAVING count(*) < 5)"
+)
+_BAD = """,
+bad AS (
+  SELECT symbol, string_agg(DISTINCT rule_id, ',' ORDER BY rule_id) AS reasons
+  FROM found WHERE severity = 'CRITICAL' GROUP BY symbol)"""
+
+# Mixed bars of the symbols that pass the gate; the stored layers hold them.
+_EVEN = _MIXED_ISSUES + _BAD + """,
+even AS (SELECT * FROM mixed WHERE symbol NOT IN (SELECT symbol FROM bad))"""
 _STORED = _EVEN + "," + _filled("even")
 _PERIOD = """,
 latest AS (SELECT symbol, max(date) AS d FROM even GROUP BY symbol)"""
@@ -168,7 +290,14 @@ SQL["src_timeseries_json_generic"] = _with(
     _BARS,
     "SELECT symbol, date, open, high, low, close, CAST(volume AS DOUBLE) AS volume FROM bars",
 )
-SQL["src_interval_json"] = _ALL_BARS + " WHERE isodow(date) = 5"
+SQL["src_interval_json"] = _with(
+    _BARS,
+    """
+SELECT symbol, max(date) AS date, arg_min(open, date) AS open, max(high) AS high, min(low) AS low,
+       arg_max(close, date) AS close, arg_max(adj_close, date) AS adj_close, CAST(sum(volume) AS BIGINT) AS volume,
+       'USD' AS currency, 'US' AS exchange
+FROM bars GROUP BY symbol, date_trunc('week', date)""",
+)
 SQL["src_quote_json"] = _with(
     _BARS,
     "SELECT symbol, arg_max(close, date) AS price, 'USD' AS currency FROM bars GROUP BY symbol",
@@ -202,12 +331,13 @@ SELECT symbol, CAST(year(d) AS INTEGER) AS as_of_year, CAST(month(d) AS INTEGER)
        CAST(0 AS BIGINT) AS critical_count, i.w AS warning_count, i.n - i.w AS info_count
 FROM (SELECT symbol, count(*) AS n, min(date) AS a, max(date) AS b FROM even GROUP BY symbol) o
 JOIN (SELECT symbol, count(*) AS n FROM corrected GROUP BY symbol) c USING (symbol)
-JOIN latest USING (symbol) JOIN found i USING (symbol)"""
+JOIN latest USING (symbol) JOIN counted i USING (symbol)"""
 SQL["src_metadata"] = _with(
     _STORED
     + _PERIOD
     + """,
-found AS (SELECT DISTINCT symbol, CAST(0 AS BIGINT) AS n, CAST(0 AS BIGINT) AS w FROM even)""",
+counted AS (
+  SELECT symbol, count(*) AS n, count(*) FILTER (severity = 'WARNING') AS w FROM found GROUP BY symbol)""",
     _METADATA,
 )
 _ALL_STORED = (
@@ -216,7 +346,7 @@ _ALL_STORED = (
 SQL["sink_metadata"] = _with(
     _ALL_STORED
     + """,
-found AS (
+counted AS (
   SELECT symbol, CAST(count(*) > 0 AS BIGINT) * 0 + 1
            + CAST(count(*) FILTER (abs(open - high) <= 0.01 AND abs(open - low) <= 0.01
                                    AND abs(open - close) <= 0.01) > 0 AS BIGINT)
@@ -228,11 +358,13 @@ found AS (
     _METADATA,
 )
 SQL["src_list_symbols"] = _with(_EVEN, "SELECT DISTINCT symbol FROM even")
+_EVERY_YEAR = "(SELECT DISTINCT CAST(year(date) AS INTEGER) AS y FROM bars)"
 SQL["src_list_periods"] = _with(
     _BARS,
-    """
-SELECT DISTINCT symbol, y AS as_of_year, CAST(12 AS INTEGER) AS as_of_month, y = 2000 AS is_latest
-FROM bars, (VALUES (1997), (1999), (2000)) AS v(y) WHERE year(date) <= y""",
+    f"""
+SELECT DISTINCT symbol, y AS as_of_year, CAST(12 AS INTEGER) AS as_of_month,
+       y = (SELECT max(year(date)) FROM bars) AS is_latest
+FROM bars, {_EVERY_YEAR} WHERE year(date) <= y""",
 )
 SQL["src_universe"] = """
 SELECT DISTINCT p_brand AS symbol, 'expansion' AS universe FROM part
@@ -327,6 +459,10 @@ SQL["join_compare_symbols"] = _with(_BARS, f"SELECT date, {_pivot('close')} FROM
 SQL["join_returns_align"] = _with(
     _BARS + _RETURNS, f"SELECT date, {_pivot('round(r, 8)')} FROM returns GROUP BY date"
 )
+SQL["join_compare_symbols_long"] = _with(_SUPPLIER_BARS, "SELECT date, symbol, close AS value FROM bars")
+SQL["join_returns_align_long"] = _with(
+    _SUPPLIER_BARS + _RETURNS, "SELECT date, symbol, round(r, 8) AS value FROM returns"
+)
 SQL["join_original_corrected"] = _with(
     _LAYERS,
     """
@@ -378,84 +514,6 @@ WHERE (symbol, CAST(d AS DATE)) NOT IN (SELECT (symbol, date) FROM bars)""",
 
 # --- validation ------------------------------------------------------------
 
-_IDENTICAL = "abs(open - high) <= 0.01 AND abs(open - low) <= 0.01 AND abs(open - close) <= 0.01"
-_ROW_CONDITIONS: list[tuple[str, str, str]] = [
-    *[("vr_null_critical", c, f"{c} IS NULL") for c in ("open", "high", "low", "close")],
-    *[("vr_null_optional", c, f"{c} IS NULL") for c in ("volume", "adj_close")],
-    *[("vr_price_nonpositive", c, f"{c} <= 0") for c in ("open", "high", "low", "close")],
-    ("vr_volume_negative", "volume", "volume < 0"),
-    ("vr_volume_zero_rows", "volume", "volume = 0"),
-    ("vr_low_gt_open", "", "low > open + 0.01"),
-    ("vr_low_gt_high", "", "low > high + 0.01"),
-    ("vr_low_gt_close", "", "low > close + 0.01"),
-    ("vr_high_lt_open", "", "high + 0.01 < open"),
-    ("vr_high_lt_close", "", "high + 0.01 < close"),
-    ("vr_ohlc_identical", "", _IDENTICAL),
-    ("vr_weekend_trading", "", "isodow(date) >= 6"),
-]
-
-
-def _spec(rule: str, severity: str | None = None) -> str:
-    r = CATALOGUE[rule]
-    return f"'{rule}' AS rule_id, '{r.issue_type}' AS issue_type, {severity or repr(r.severity)} AS severity"
-
-
-def _issue_selects(source: str) -> dict[str, str]:
-    """rule -> SELECT of its issues over a bars table (metric columns come last)."""
-    found: dict[str, list[str]] = {}
-    for rule, field, condition in _ROW_CONDITIONS:
-        found.setdefault(rule, []).append(
-            f"SELECT symbol, '{field}' AS field, {_spec(rule)}, count(*) AS affected "
-            f"FROM {source} WHERE {condition} GROUP BY symbol"
-        )
-    selects = {rule: "\nUNION ALL ".join(parts) for rule, parts in found.items()}
-    selects["vr_volume_zero_share"] = f"""
-SELECT symbol, 'volume' AS field,
-       {_spec('vr_volume_zero_share', "CASE WHEN z < n * 0.1 THEN 'WARNING' ELSE 'CRITICAL' END")},
-       z AS affected, round(z / n * 100, 6) AS metric
-FROM (SELECT symbol, count(*) AS n, count(*) FILTER (volume = 0) AS z FROM {source} GROUP BY symbol)
-WHERE z > 0"""
-    selects["vr_date_duplicate"] = f"""
-SELECT symbol, '' AS field, {_spec('vr_date_duplicate')}, count(*) AS affected,
-       round(CAST(count(DISTINCT date) AS DOUBLE), 0) AS metric
-FROM (SELECT symbol, date, row_number() OVER (PARTITION BY symbol, date ORDER BY ingest_seq) AS n FROM {source})
-WHERE n > 1 GROUP BY symbol"""
-    steps = f"""(SELECT symbol, count(*) AS n, count(*) FILTER (g < 0) AS back,
-  count(*) FILTER (g = 1) AS one, count(*) FILTER (g BETWEEN 2 AND 3) AS weekend,
-  count(*) FILTER (g BETWEEN 4 AND 7) AS holiday, count(*) FILTER (g > 7) AS longer, max(g) AS largest
-  FROM (SELECT symbol, date_diff('day', lag(date) OVER (PARTITION BY symbol ORDER BY ingest_seq), date) AS g
-        FROM {source}) GROUP BY symbol)"""
-    selects["vr_date_order"] = (
-        f"SELECT symbol, '' AS field, {_spec('vr_date_order')}, back AS affected FROM {steps} WHERE back > 0"
-    )
-    selects["vr_gap_suspicious"] = f"""
-SELECT symbol, '' AS field, {_spec('vr_gap_suspicious')}, longer AS affected,
-       CAST(largest AS DOUBLE) AS metric FROM {steps} WHERE longer > 0"""
-    selects["vr_sparse_series"] = f"""
-SELECT symbol, '' AS field, {_spec('vr_sparse_series')}, one AS affected,
-       round(one / (n - 1) * 100, 6) AS metric FROM {steps} WHERE one / nullif(n - 1, 0) < 0.6"""
-    selects["vr_temporal_stats"] = f"""
-SELECT symbol, '' AS field, {_spec('vr_temporal_stats')}, one AS affected,
-       CAST(weekend AS DOUBLE) AS metric, CAST(holiday AS DOUBLE) AS metric_2 FROM {steps} WHERE n > 1"""
-    selects["vr_extreme_variation"] = f"""
-SELECT symbol, 'close' AS field, {_spec('vr_extreme_variation')}, count(*) AS affected,
-       round(max(v), 6) AS metric
-FROM (SELECT symbol, abs(close / lag(close) OVER (PARTITION BY symbol ORDER BY date, ingest_seq) - 1) AS v
-      FROM {source}) WHERE v > 0.2 GROUP BY symbol"""
-    outliers = []
-    for field in ("open", "high", "low", "close", "volume"):
-        outliers.append(
-            f"SELECT t.symbol, '{field}' AS field, {_spec('vr_iqr_outlier')}, count(*) AS affected, "
-            f"round(max(lo), 4) AS metric, round(max(hi), 4) AS metric_2 FROM {source} t JOIN "
-            f"(SELECT symbol, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM "
-            f"(SELECT symbol, quantile_cont({field}, 0.25) AS q1, quantile_cont({field}, 0.75) AS q3 "
-            f"FROM {source} GROUP BY symbol)) b USING (symbol) "
-            f"WHERE t.{field} < lo OR t.{field} > hi GROUP BY t.symbol"
-        )
-    selects["vr_iqr_outlier"] = "\nUNION ALL ".join(outliers)
-    return selects
-
-
 for _rule, _select in _issue_selects("dirty").items():
     SQL[_rule] = _with(_DIRTY, _select)
 
@@ -519,14 +577,6 @@ UNION ALL SELECT symbol, ingest_seq, date, 'vr_date_order', '' FROM lagged WHERE
 UNION ALL SELECT symbol, ingest_seq, date, 'vr_gap_suspicious', '' FROM lagged WHERE gap > 7""",
 )
 
-_MIXED_ISSUES = (
-    _MIXED
-    + ",\nfound AS ("
-    + "\nUNION ALL ".join(
-        f"(SELECT symbol, rule_id, severity FROM ({s}))" for s in _issue_selects("mixed").values()
-    )
-    + "\nUNION ALL SELECT symbol, 'vr_min_rows', 'CRITICAL' FROM mixed GROUP BY symbol HAVING count(*) < 5)"
-)
 SQL["vr_summary"] = _with(
     _MIXED_ISSUES,
     """
@@ -537,10 +587,6 @@ SELECT s.symbol, count(*) FILTER (severity = 'CRITICAL') = 0 AS is_valid, count(
        count(*) FILTER (severity = 'CRITICAL') = 0 AS has_corrections
 FROM (SELECT DISTINCT symbol FROM mixed) s LEFT JOIN found USING (symbol) GROUP BY s.symbol""",
 )
-_BAD = """,
-bad AS (
-  SELECT symbol, string_agg(DISTINCT rule_id, ',' ORDER BY rule_id) AS reasons
-  FROM found WHERE severity = 'CRITICAL' GROUP BY symbol)"""
 SQL["vr_gate"] = _with(
     _MIXED_ISSUES + _BAD,
     """
@@ -643,7 +689,10 @@ SQL["dq_duplicate_dates"] = _with(
     _DIRTY, "SELECT symbol, count(*) - count(DISTINCT date) AS duplicates FROM dirty GROUP BY symbol"
 )
 SQL["dq_is_sorted"] = _with(
-    _MIXED, f"SELECT DISTINCT symbol, {_NUMBER} % 2 = 0 AS is_sorted FROM mixed"
+    _MIXED,
+    """
+, steps AS (SELECT symbol, date < lag(date) OVER (PARTITION BY symbol ORDER BY ingest_seq) AS back FROM mixed)
+SELECT symbol, NOT coalesce(bool_or(back), FALSE) AS is_sorted FROM steps GROUP BY symbol""",
 )
 SQL["dq_report"] = _with(
     _STORED
@@ -776,15 +825,15 @@ SQL["ana_correlation"] = _with(
     """
 , pairs AS (
   SELECT a.symbol AS symbol_a, b.symbol AS symbol_b, corr(a.r, b.r) AS c
-  FROM returns a JOIN returns b USING (date) WHERE a.r IS NOT NULL AND b.r IS NOT NULL GROUP BY 1, 2)
+  FROM returns a JOIN returns b USING (date) WHERE a.r IS NOT NULL AND b.r IS NOT NULL AND a.symbol <= b.symbol GROUP BY 1, 2)
 SELECT symbol_a, symbol_b, round(c, 6) AS correlation,
        CASE WHEN c > 0.7 THEN 'high' WHEN c > 0.3 THEN 'medium' WHEN c IS NOT NULL THEN 'low' END AS strength
 FROM pairs""",
 )
 SQL["ana_compare_periods"] = _with(
     _BARS
-    + """,
-snaps AS (SELECT b.*, y FROM bars b, (VALUES (1997), (1999), (2000)) AS v(y) WHERE year(date) <= y),
+    + f""",
+snaps AS (SELECT b.*, y FROM bars b, {_EVERY_YEAR} WHERE year(date) <= y),
 moves AS (SELECT *, close / lag(close) OVER (PARTITION BY symbol, y ORDER BY date) - 1 AS r FROM snaps),
 found AS (
   SELECT symbol, y || '-12' AS period,
@@ -981,9 +1030,7 @@ _STATUS = (
     _MIXED_ISSUES
     + _BAD
     + _REQUESTED
-    + ",\neven AS (SELECT * FROM bars WHERE "
-    + _NUMBER
-    + " % 2 = 0),"
+    + ",\neven AS (SELECT * FROM mixed WHERE symbol NOT IN (SELECT symbol FROM bad)),"
     + _filled("even")
     + """,
 saved AS (SELECT symbol, count(*) AS n FROM corrected GROUP BY symbol),

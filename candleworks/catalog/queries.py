@@ -80,9 +80,8 @@ def src_values_json(spark, sf_dir):
 @query
 def src_interval_json(spark, sf_dir):
     """Daily and weekly documents landed together; the weekly ones are read."""
-    bars = fx.bars_by_brand(spark, sf_dir)
     weekly = payloads.render_series(
-        bars.where(F.weekday("date") == 4), F.year("date"), "Weekly Time Series"
+        fx.weekly_bars(spark, sf_dir), F.year("date"), "Weekly Time Series"
     ).withColumn("interval", F.lit("1wk"))
     every_day = _daily_documents(spark, sf_dir).withColumn("interval", F.lit("1d"))
     return payloads.interval_bars(weekly.unionByName(every_day), "1wk").select(*_BARS)
@@ -119,24 +118,13 @@ def _stored(spark: SparkSession, sf_dir: str) -> store.BarStore:
     if key not in _STORES:
         target = store.BarStore(spark, fresh_folder(spark, "store"))
         bars = staged(fx.mixed_bars(spark, sf_dir), "bars")
-        critical = [r for r in rules.DATA_RULES if r in _ROW_CRITICAL]
-        found = staged(rules.issues(bars, critical), "issues")
+        found = staged(rules.issues(bars), "issues")
         corrected = fix.corrected_layer(rules.accepted(bars, found))
         target.save(bars, corrected, found, csv=True)
         _STORES[key] = target.root
     return store.BarStore(spark, _STORES[key])
 
 
-_ROW_CRITICAL = {
-    "vr_null_critical",
-    "vr_min_rows",
-    "vr_price_nonpositive",
-    "vr_volume_negative",
-    "vr_low_gt_high",
-    "vr_date_duplicate",
-}
-
-
 @query
 def src_parquet_snapshot(spark, sf_dir):
     target = _stored(spark, sf_dir)
@@ -302,21 +290,32 @@ def proj_year_month(spark, sf_dir):
 def _wide_names(frame: DataFrame) -> DataFrame:
     return frame.select(
         F.col("datetime").cast("date").alias("date"),
-        *[F.col(f"`{b}`").alias(b.replace("#", "_").lower()) for b in fx.BRANDS],
+        *[F.col(f"`{c}`").alias(c.replace("#", "_").lower()) for c in frame.columns if c != "datetime"],
     )
 
 
 @query
 def join_compare_symbols(spark, sf_dir):
-    return _wide_names(rel.compare_symbols(fx.bars_by_brand(spark, sf_dir), fx.BRANDS))
+    return _wide_names(rel.compare_symbols(fx.bars_by_brand(spark, sf_dir)))
 
 
 @query
 def join_returns_align(spark, sf_dir):
-    wide = _wide_names(rel.compare_symbols(fx.bars_by_brand(spark, sf_dir), fx.BRANDS, "returns"))
+    wide = _wide_names(rel.compare_symbols(fx.bars_by_brand(spark, sf_dir), metric="returns"))
     return wide.select("date", *[F.round(c, 8).alias(c) for c in wide.columns if c != "date"])
 
 
+@query
+def join_compare_symbols_long(spark, sf_dir):
+    """The same for many symbols: one row per supplier and date instead of columns."""
+    return _plain(rel.symbol_values(fx.bars_by_supplier(spark, sf_dir), "close"))
+
+
+@query
+def join_returns_align_long(spark, sf_dir):
+    return _plain(rel.symbol_values(fx.bars_by_supplier(spark, sf_dir), "returns"), {"value": 8})
+
+
 @query
 def join_original_corrected(spark, sf_dir):
     return rel.original_corrected(fx.two_layers(spark, sf_dir))
@@ -524,7 +523,7 @@ def fix_types(spark, sf_dir):
 def fix_corrected_layer(spark, sf_dir):
     """The whole chain on the symbols that pass the gate."""
     bars = fx.mixed_bars(spark, sf_dir)
-    found = rules.issues(bars, list(_ROW_CRITICAL))
+    found = rules.issues(bars)
     rows = fix.corrected_layer(rules.accepted(bars, found))
     return rows.select(*_BARS, "is_filled", SEQ)
 
@@ -694,7 +693,7 @@ def ana_volume_top10_share(spark, sf_dir):
 
 @query
 def ana_correlation(spark, sf_dir):
-    return _plain(correlation(fx.bars_by_brand(spark, sf_dir), fx.BRANDS), {"correlation": 6})
+    return _plain(correlation(fx.bars_by_brand(spark, sf_dir)), {"correlation": 6})
 
 
 @query
@@ -791,6 +790,7 @@ def fm_compare_models(spark, sf_dir):
 
 # --- forecast --------------------------------------------------------------
 
+# Held out for fc_evaluate and fc_model_table alone.
 _TRAIN_UNTIL = "2000-12-31"
 
 
@@ -800,8 +800,12 @@ def _split(spark, sf_dir):
     return bars.where(train), bars.where(~train)
 
 
+def _training(spark, sf_dir):
+    return fc.prepare(fx.bars_by_brand(spark, sf_dir))
+
+
 def _fitted(spark, sf_dir):
-    return fc.fit(fc.prepare(_split(spark, sf_dir)[0]))
+    return fc.fit(_training(spark, sf_dir))
 
 
 @query
@@ -825,14 +829,14 @@ def fc_future_frame(spark, sf_dir):
 
 @query
 def fc_predict(spark, sf_dir):
-    train = fc.prepare(_split(spark, sf_dir)[0])
+    train = _training(spark, sf_dir)
     rows = fc.predict(fc.future_frame(train, 30), fc.fit(train))
     return rows.withColumn("ds", F.col("ds").cast("date")).drop("train_end")
 
 
 @query
 def fc_predictions(spark, sf_dir):
-    train = fc.prepare(_split(spark, sf_dir)[0])
+    train = _training(spark, sf_dir)
     return _plain(fc.predictions(fc.predict(fc.future_frame(train, 30), fc.fit(train))))
 
 
@@ -866,7 +870,7 @@ def fc_holidays(spark, sf_dir):
 def fc_fit_with_holidays(spark, sf_dir):
     """The fit with holiday columns as regressors."""
     names = fc.holiday_columns("US")
-    train = fc.with_holidays(_split(spark, sf_dir)[0], "US")
+    train = fc.with_holidays(fx.bars_by_brand(spark, sf_dir), "US")
     fitted = fc.fit(fc.prepare(train, names), fc.Model(regressors=tuple(names)))
     return fitted.select(SYMBOL, "n", "sigma", F.size("coefficients").alias("n_coefficients"))
 

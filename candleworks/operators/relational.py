@@ -12,38 +12,42 @@ from candleworks.functions.joins import spread_join
 from candleworks.functions.series import padded, timeline
 from candleworks.schema import CORRECTED, DATETIME, ORIGINAL, SEQ, SYMBOL
 
-# A wider pivot than this is a matrix job: see operators.correlation.
-MAX_PIVOT = 1000
 
+def symbol_values(bars: DataFrame, metric: str = "close") -> DataFrame:
+    """(datetime, symbol, value) for any number of symbols.
+
+    ``metric`` is a column of bars or 'returns' (daily change of close).
+    """
+    if metric == "returns":
+        return symbol_returns(bars)
+    return bars.select(DATETIME, SYMBOL, F.col(metric).alias("value"))
 
-def _wide(values: DataFrame, symbols: Sequence[str], metric: str) -> DataFrame:
-    if len(symbols) > MAX_PIVOT:
-        raise ValueError(f"at most {MAX_PIVOT} symbols can become columns")
-    return (
-        values.where(F.col(SYMBOL).isin(list(symbols)))
-        .groupBy(DATETIME)
-        .pivot(SYMBOL, list(symbols))
-        .agg(F.first(metric))
-    )
 
+def symbol_returns(bars: DataFrame) -> DataFrame:
+    """(datetime, symbol, value): daily returns on the symbol's own timeline."""
+    w = timeline(bars)
+    known = bars.select(DATETIME, SYMBOL, padded("close", w).alias("_close"))
+    return known.select(DATETIME, SYMBOL, change("_close", F.lag("_close").over(w)).alias("value"))
 
-def compare_symbols(bars: DataFrame, symbols: Sequence[str], metric: str = "close") -> DataFrame:
+
+def side_by_side(values: DataFrame, symbols: Sequence[str] | None = None) -> DataFrame:
     """One row per datetime and one column per symbol; nulls where a symbol has no row.
 
-    ``metric`` is a column of bars or 'returns' (daily change of close).
+    The columns are the symbols named, or all that the data holds (up to the session's
+    limit of pivot values). For more symbols use the long form.
     """
-    if metric == "returns":
-        return aligned_returns(bars, symbols)
-    return _wide(bars.select(DATETIME, SYMBOL, metric), symbols, metric)
+    return values.groupBy(DATETIME).pivot(SYMBOL, list(symbols) if symbols else None).agg(F.first("value"))
+
+
+def compare_symbols(bars: DataFrame, symbols: Sequence[str] | None = None, metric: str = "close") -> DataFrame:
+    """symbol_values of the symbols (all of the data by default) side by side."""
+    chosen = bars.where(F.col(SYMBOL).isin(list(symbols))) if symbols else bars
+    return side_by_side(symbol_values(chosen, metric), symbols)
 
 
-def aligned_returns(bars: DataFrame, symbols: Sequence[str]) -> DataFrame:
+def aligned_returns(bars: DataFrame, symbols: Sequence[str] | None = None) -> DataFrame:
     """Daily returns of the symbols side by side, aligned by datetime."""
-    chosen = bars.where(F.col(SYMBOL).isin(list(symbols)))
-    w = timeline(chosen)
-    known = chosen.select(DATETIME, SYMBOL, padded("close", w).alias("_close"))
-    returns = known.select(DATETIME, SYMBOL, change("_close", F.lag("_close").over(w)).alias("_r"))
-    return _wide(returns, symbols, "_r")
+    return compare_symbols(bars, symbols, "returns")
 
 
 def original_corrected(layers: DataFrame) -> DataFrame:
@@ -96,10 +100,11 @@ def dedup_keep_last(bars: DataFrame) -> DataFrame:
 
 
 def merge_upsert(existing: DataFrame, new: DataFrame) -> DataFrame:
-    """Existing and new rows, one per symbol and date; new rows win ties of datetime."""
+    """Existing and new rows, one per symbol and date: the latest datetime, then the
+    highest ingest_seq, then the new row."""
     both = existing.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)))
     newest = Window.partitionBy(SYMBOL, "date").orderBy(
-        F.desc(DATETIME), F.desc("_new"), F.desc(SEQ)
+        F.desc(DATETIME), F.desc(SEQ), F.desc("_new")
     )
     return (
         both.withColumn("_n", F.row_number().over(newest)).where(F.col("_n") == 1).drop("_n", "_new")
