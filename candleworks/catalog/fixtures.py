@@ -191,3 +191,41 @@ def weekly_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.max("exchange").alias("exchange"),
         F.max(SEQ).alias(SEQ),
     ).withColumnRenamed("last_date", "date").select(*BAR_COLUMNS, SEQ)
+
+
+def variant_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Series documents in four shapes, by brand and year: (symbol, part, payload).
+
+    By brand number modulo 4: 0 numbered daily fields, 1 adjusted weekly ones with
+    ``6. volume``, 2 plain names, 3 a repeated name, with empty opens, dates that are none
+    and volumes beyond 64 bits in between.
+    """
+    bars = bars_by_brand(spark, sf_dir)
+    shape, every = brand_number() % 4, lambda n: F.col(SEQ) % n == 0
+    text = lambda c: c.cast("string")
+    volume = F.when((shape == 3) & every(10), F.lit("1e30")).otherwise(text(F.col("volume")))
+    opening = F.when((shape == 3) & every(7), F.lit("")).otherwise(text(F.col("open")))
+    pairs = lambda **named: F.concat_ws(
+        ",", *[F.concat(F.lit(f'"{k}":"'), v, F.lit('"')) for k, v in named.items()]
+    )
+    prices = [text(F.col(c)) for c in ("high", "low", "close")]
+    numbered = dict(zip(["1. open", "2. high", "3. low", "4. close"], [opening, *prices]))
+    plain = dict(zip(["open", "high", "low", "close"], [opening, *prices]))
+    adjusted = {"5. adjusted close": text(F.col("close") / 2), "6. volume": volume}
+    point = (
+        F.when(shape == 0, pairs(**numbered, **{"5. volume": volume}))
+        .when(shape == 1, pairs(**numbered, **adjusted))
+        .when(shape == 2, pairs(**plain, volume=volume))
+        .otherwise(pairs(**numbered, **{"5. volume": volume, "open": F.lit("1")}))
+    )
+    when = F.when((shape == 3) & every(11), F.lit("no day ")).otherwise(F.lit(""))
+    entry = F.concat(F.lit('"'), when, F.date_format("date", "yyyy-MM-dd"), F.lit('":{'), point, F.lit("}"))
+    name = F.element_at(
+        F.array(*[F.lit(n) for n in ("Time Series (Daily)", "Weekly Adjusted Time Series", "Monthly Time Series", "Time Series (Daily)")]),
+        F.first(shape) + 1,
+    )
+    documents = bars.groupBy(SYMBOL, F.year("date").alias("part")).agg(
+        F.concat_ws(",", F.collect_list(entry)).alias("points"), name.alias("name")
+    )
+    payload = F.concat(F.lit('{"Meta Data":{},"'), "name", F.lit('":{'), "points", F.lit("}}"))
+    return documents.select(SYMBOL, "part", payload.alias("payload"))

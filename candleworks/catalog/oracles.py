@@ -315,6 +315,25 @@ SELECT symbol,
        count(*) AS documents
 FROM documents WHERE b % 4 IN (0, 1) OR b % 8 IN (2, 3) GROUP BY 1, 2, 3""",
 )
+_SHAPES = _BARS + f""",
+shaped AS (SELECT *, {_NUMBER} % 4 AS shape FROM bars)"""
+SQL["src_series_variants"] = _with(
+    _SHAPES,
+    """
+SELECT symbol, CASE WHEN shape = 3 AND ingest_seq % 11 = 0 THEN NULL ELSE date END AS date, open, high, low, close,
+       CASE WHEN shape = 1 THEN close / 2 ELSE close END AS adj_close,
+       CASE WHEN shape = 3 AND ingest_seq % 10 = 0 THEN NULL ELSE volume END AS volume, currency, exchange
+FROM shaped WHERE NOT (shape = 3 AND ingest_seq % 7 = 0)""",
+)
+SQL["src_point_errors"] = _with(
+    _SHAPES,
+    """
+SELECT symbol, 'repeated_name' AS detail, count(*) AS points FROM shaped WHERE shape = 3 GROUP BY symbol
+UNION ALL
+SELECT symbol, 'bad_date', count(*) FROM shaped WHERE shape = 3 AND ingest_seq % 11 = 0 GROUP BY symbol
+UNION ALL
+SELECT symbol, 'volume_overflow', count(*) FROM shaped WHERE shape = 3 AND ingest_seq % 10 = 0 GROUP BY symbol""",
+)
 SQL["src_parquet_snapshot"] = _with(
     _STORED + _PERIOD,
     f"""
@@ -403,6 +422,64 @@ FROM (SELECT symbol, count(*) AS n FROM even GROUP BY symbol) o
 JOIN (SELECT symbol, count(*) AS n, max(volume) AS v FROM corrected GROUP BY symbol) c USING (symbol)""",
 )
 
+# Two saves up to 2000 (every bar but each sixth that neither delivers), one from 2000 on.
+_SAVES = (
+    _BARS
+    + """,
+early AS (
+  SELECT *, date = max(date) OVER (PARTITION BY symbol) AS last FROM bars WHERE year(date) <= 2000),
+merged AS (
+  SELECT symbol, date, volume, ingest_seq, CASE WHEN last OR ingest_seq % 2 = 0 THEN high ELSE close END AS close
+  FROM early WHERE last OR ingest_seq % 3 <> 0 OR ingest_seq % 2 = 0),
+late AS (SELECT symbol, date, volume, ingest_seq, close FROM bars WHERE year(date) >= 2000),
+snaps AS (
+  SELECT symbol, date, volume, close, max(date) OVER (PARTITION BY symbol) AS d FROM merged
+  UNION ALL SELECT symbol, date, volume, close, max(date) OVER (PARTITION BY symbol) FROM late)"""
+)
+SQL["src_metadata_second_save"] = _with(
+    _SAVES,
+    """
+SELECT symbol, CAST(year(d) AS INTEGER) AS as_of_year, CAST(month(d) AS INTEGER) AS as_of_month,
+       count(*) AS original_records, CAST(0 AS BIGINT) AS original_duplicates_removed,
+       min(date) AS start_date, max(date) AS end_date
+FROM snaps GROUP BY symbol, d""",
+)
+SQL["sink_csv_second_save"] = _with(
+    _SAVES,
+    """
+SELECT symbol, date, close, CAST(volume AS BIGINT) AS volume
+FROM (SELECT *, 1 AS save FROM merged UNION ALL SELECT *, 2 AS save FROM late)
+QUALIFY row_number() OVER (PARTITION BY symbol, date ORDER BY save DESC) = 1""",
+)
+SQL["dq_report_two_snapshots"] = _with(
+    _SAVES,
+    """
+SELECT symbol, CAST(year(d) AS INTEGER) AS as_of_year, CAST(month(d) AS INTEGER) AS as_of_month,
+       strftime(d, '%Y-%m') AS period, count(*) AS original_records,
+       CAST(max(date) - min(date) + 1 AS INTEGER) AS total_days,
+       count(*) - count(DISTINCT date) AS has_duplicates, TRUE AS is_sorted
+FROM snaps GROUP BY symbol, d""",
+)
+SQL["pipe_report_latest"] = _with(
+    _SAVES,
+    """
+SELECT symbol, strftime(max(date), '%Y-%m') AS period, count(*) AS original_records,
+       CAST(sum(volume) AS BIGINT) AS original_total_volume, arg_max(close, date) AS end_price
+FROM late GROUP BY symbol""",
+)
+SQL["sink_backups_on_disk"] = _with(
+    _BARS,
+    """
+SELECT symbol, 'original' AS layer, CAST(4 AS BIGINT) AS backups, count(*) * 4 AS n_rows FROM bars GROUP BY symbol""",
+)
+SQL["src_snapshot_read"] = _with(
+    _STORED + _PERIOD,
+    f"""
+SELECT c.{_ELEVEN.replace(", ", ", c.")}, is_filled, CAST(year(d) AS INTEGER) AS as_of_year,
+       CAST(month(d) AS INTEGER) AS as_of_month
+FROM corrected c JOIN latest USING (symbol) WHERE symbol = (SELECT min(symbol) FROM latest)""",
+)
+
 # --- projections -----------------------------------------------------------
 
 SQL["proj_exchange_from_symbol"] = """
@@ -1091,6 +1168,7 @@ SQL["st_ingest_upsert"] = _with(
 SELECT symbol, date, ingest_seq, close, volume FROM dirty
 QUALIFY row_number() OVER (PARTITION BY symbol, date ORDER BY ingest_seq DESC) = 1""",
 )
+SQL["st_ingest_falling_order"] = SQL["st_ingest_upsert"]
 SQL["st_row_rules"] = _with(
     _DIRTY,
     "SELECT symbol, ingest_seq, date, string_agg(label, ',' ORDER BY label) AS broken FROM ("
@@ -1108,3 +1186,8 @@ SELECT event_type AS symbol, strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S
 FROM events
 WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 2 HOUR FROM events)
 GROUP BY 1, 2"""
+SQL["ohlc_bars"] = """
+SELECT event_type AS symbol, strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS bar_start,
+       arg_min(value, row(ts, value)) AS open, max(value) AS high, min(value) AS low,
+       arg_max(value, row(ts, value)) AS close, count(*) AS volume, count(*) AS ticks
+FROM events GROUP BY 1, 2"""

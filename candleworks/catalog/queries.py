@@ -109,6 +109,18 @@ def src_payload_errors(spark, sf_dir):
     )
 
 
+@query
+def src_series_variants(spark, sf_dir):
+    """Numbered, adjusted and plain field names, repeated ones, empty and broken values."""
+    return payloads.timeseries_bars(fx.variant_documents(spark, sf_dir)).select(*_BARS)
+
+
+@query
+def src_point_errors(spark, sf_dir):
+    found = payloads.point_errors(fx.variant_documents(spark, sf_dir))
+    return found.groupBy(SYMBOL, "detail").agg(F.count("*").alias("points"))
+
+
 _STORES: dict[tuple[str, str], str] = {}
 
 
@@ -132,6 +144,14 @@ def src_parquet_snapshot(spark, sf_dir):
     return rows.select(*_BARS, "is_filled", "as_of_year", "as_of_month")
 
 
+@query
+def src_snapshot_read(spark, sf_dir):
+    """One snapshot of one symbol: the folders prune by month, the row groups by symbol."""
+    target = _stored(spark, sf_dir)
+    first = target.metadata().orderBy(SYMBOL).select(SYMBOL, *store.AS_OF).first()
+    return target.read(*first).select(*_BARS, "is_filled", *store.AS_OF)
+
+
 @query
 def src_metadata(spark, sf_dir):
     return _stored(spark, sf_dir).metadata().drop(
@@ -193,6 +213,84 @@ def sink_csv(spark, sf_dir):
     return spark.read.schema(schema).option("header", True).csv(target).select(*_BARS)
 
 
+def _second_saves(spark, sf_dir) -> store.BarStore:
+    """A store after two saves of overlapping rows and a third in a later month.
+
+    Both of the first two deliver each symbol's last bar before 2001, so they meet in one
+    snapshot; the third delivers everything from 2000 on. Written once per application
+    and input; the issues are those of the whole history.
+    """
+    key = (spark.sparkContext.applicationId, f"{sf_dir} again")
+    if key not in _STORES:
+        target = store.BarStore(spark, fresh_folder(spark, "second-saves"))
+        bars = staged(fx.bars_by_brand(spark, sf_dir), "bars")
+        found = staged(rules.issues(bars), "issues")
+        early = bars.where(F.year("date") <= 2000)
+        last = early.groupBy(SYMBOL).agg(F.max("date").alias("date")).withColumn("_last", F.lit(True))
+        early = early.join(last, [SYMBOL, "date"], "left")
+        always = F.col("_last").isNotNull()
+        first = early.where(always | (F.col(SEQ) % 3 != 0)).drop("_last")
+        second = early.where(always | (F.col(SEQ) % 2 == 0)).drop("_last").withColumn("close", F.col("high"))
+        for rows in (first, second, bars.where(F.year("date") >= 2000)):
+            target.save(rows, fix.corrected_layer(rules.accepted(rows, found)), found, csv=True)
+        _STORES[key] = target.root
+    return store.BarStore(spark, _STORES[key])
+
+
+@query
+def src_metadata_second_save(spark, sf_dir):
+    rows = _second_saves(spark, sf_dir).metadata()
+    return rows.select(
+        SYMBOL, *store.AS_OF, "original_records", "original_duplicates_removed", "start_date", "end_date"
+    )
+
+
+@query
+def sink_csv_second_save(spark, sf_dir):
+    rows = _second_saves(spark, sf_dir).csv(ORIGINAL)
+    return rows.select(SYMBOL, "date", "close", "volume")
+
+
+@query
+def dq_report_two_snapshots(spark, sf_dir):
+    """Quality of both snapshots of a symbol, each from its own rows."""
+    target = _second_saves(spark, sf_dir)
+    report = dq.report(target.snapshots(), target.metadata())
+    return report.select(
+        SYMBOL,
+        *store.AS_OF,
+        "period",
+        "completeness.original_records",
+        "date_range.total_days",
+        "data_integrity.has_duplicates",
+        "data_integrity.is_sorted",
+    )
+
+
+@query
+def pipe_report_latest(spark, sf_dir):
+    """Report data of the latest snapshot alone, though the store holds two."""
+    target = _second_saves(spark, sf_dir)
+    rows = reports.report_dataset(target.snapshots(), target.metadata())
+    return rows.select(
+        SYMBOL, "quality.period", "comparison.original_records", "comparison.original_total_volume", "financial.end_price"
+    )
+
+
+@query
+def sink_backups_on_disk(spark, sf_dir):
+    """Six saves of one snapshot leave five backups, of which four stay on disk."""
+    target = store.BarStore(spark, fresh_folder(spark, "six-saves"))
+    rows = fx.bars_by_brand(spark, sf_dir).withColumn("is_filled", F.lit(False))
+    rows = staged(rows.join(proj.snapshot_period(rows), SYMBOL), "bars")
+    for _ in range(6):
+        target.upsert(rows, ORIGINAL, "snapshots", store.AS_OF, backup=True)
+    on_disk = spark.read.parquet(f"{target.root}/backups")
+    return on_disk.groupBy(SYMBOL, "layer").agg(
+        F.countDistinct("backup_id").alias("backups"), F.count("*").alias("n_rows")
+    )
+
+
 @query
 def sink_metadata(spark, sf_dir):
     bars = fx.bars_by_brand(spark, sf_dir)
@@ -969,6 +1067,26 @@ def st_ingest_upsert(spark, sf_dir):
     return target.bars(ORIGINAL).select(SYMBOL, "date", SEQ, "close", "volume")
 
 
+@query
+def st_ingest_falling_order(spark, sf_dir):
+    """The copies of a date come in files of their own, the higher ingest_seq first."""
+    landing = fresh_folder(spark, "falling")
+    rows = staged(fx.dirty_bars(spark, sf_dir), "bars")
+    target = store.BarStore(spark, fresh_folder(spark, "falling-store"))
+    late = F.col(SEQ) > 1_000_000
+    for part in (rows.where(late), rows.where(~late)):
+        part.coalesce(1).write.mode("append").parquet(landing)
+        stream = spark.readStream.schema(rows.schema).parquet(landing)
+        started = (
+            stream.writeStream.foreachBatch(streams.upsert_into(target, ORIGINAL))
+            .option("checkpointLocation", f"{landing}-state")
+            .trigger(availableNow=True)
+            .start()
+        )
+        started.awaitTermination()
+    return target.bars(ORIGINAL).select(SYMBOL, "date", SEQ, "close", "volume")
+
+
 @query
 def st_row_rules(spark, sf_dir):
     flagged = streams.flag_rows(_landed_stream(spark, sf_dir, "landing"))
@@ -991,3 +1109,10 @@ def st_ohlc_bars(spark, sf_dir):
     _drained(streams.ohlc(fx.ticks(events)), target, fresh_folder(spark, "stream-state"))
     rows = spark.read.parquet(target)
     return rows.withColumn("bar_start", F.date_format("bar_start", "yyyy-MM-dd HH:mm:ss"))
+
+
+@query
+def ohlc_bars(spark, sf_dir):
+    """The same hourly bars of the whole table as a batch: every window, the last ones too."""
+    rows = streams.ohlc(fx.ticks(fx.table(spark, sf_dir, "events")))
+    return rows.withColumn("bar_start", F.date_format("bar_start", "yyyy-MM-dd HH:mm:ss"))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from candleworks.functions.columns import at_midnight, exchange_of
+from candleworks.functions.columns import at_midnight, exchange_of, no_nan
 from candleworks.functions.joins import spread_join
 from candleworks.schema import BAR_COLUMNS, DATETIME, OHLC, PRICES, SYMBOL
 
@@ -35,19 +35,20 @@ def with_exchange(frame: DataFrame) -> DataFrame:
 
 
 def normalize_types(bars: DataFrame) -> DataFrame:
-    """Cast every canonical column to its stored type; a missing volume becomes 0."""
+    """Cast every canonical column to its stored type; NaN becomes null, a missing volume 0."""
     types = {DATETIME: "timestamp_ntz", "date": "date"}
     types |= {c: "string" for c in (SYMBOL, "currency", "exchange")}
     types |= {c: "double" for c in PRICES}
     casts = {c: F.col(c).cast(t) for c, t in types.items() if c in bars.columns}
+    casts |= {c: no_nan(casts[c]) for c in PRICES if c in casts}
     if "volume" in bars.columns:
         casts["volume"] = F.coalesce(F.col("volume"), F.lit(0)).cast("bigint")
     return bars.withColumns(casts)
 
 
 def coerce_numeric(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Text to double; text that is no number becomes null."""
-    return frame.withColumns({c: F.col(c).try_cast("double") for c in columns})
+    """Text to double; text that is no number, and NaN, becomes null."""
+    return frame.withColumns({c: no_nan(F.col(c).try_cast("double")) for c in columns})
 
 
 def drop_null_prices(bars: DataFrame) -> DataFrame:

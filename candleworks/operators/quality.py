@@ -2,18 +2,41 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from candleworks.functions.columns import days_between, ratio
 from candleworks.operators.rules import SEQ_BLOCK
-from candleworks.schema import CORRECTED, DATETIME, OHLC, ORIGINAL, SEQ, SYMBOL
+from candleworks.schema import AS_OF, CORRECTED, DATETIME, OHLC, ORIGINAL, SEQ, SYMBOL
+
+
+def per_snapshot(fn: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """A function of frames keyed by symbol, made to keep snapshots apart.
+
+    Where the frames have the snapshot columns, symbol and snapshot together are the key,
+    and the result has those columns as well.
+    """
+
+    @wraps(fn)
+    def run(*frames: DataFrame) -> DataFrame:
+        if not set(AS_OF) <= set(frames[0].columns):
+            return fn(*frames)
+        key = F.struct(SYMBOL, *AS_OF)
+        out = fn(*[f.withColumn(SYMBOL, key).drop(*AS_OF) for f in frames])
+        named = [F.col(f"{SYMBOL}.{c}").alias(c) for c in (SYMBOL, *AS_OF)]
+        return out.select(*named, *[c for c in out.columns if c != SYMBOL])
+
+    return run
 
 
 def _layer(layers: DataFrame, name: str) -> DataFrame:
     return layers.where(F.col("layer") == name).drop("layer")
 
 
+@per_snapshot
 def completeness(layers: DataFrame) -> DataFrame:
     """Rows against expected trading days (5 of 7 calendar days of the original range)."""
     original = F.col("layer") == ORIGINAL
@@ -167,6 +190,7 @@ def forecast_readiness(bars: DataFrame) -> DataFrame:
     )
 
 
+@per_snapshot
 def original_vs_corrected(layers: DataFrame) -> DataFrame:
     """Rows and price/volume statistics of both layers in one row per symbol."""
     columns = []
@@ -189,8 +213,6 @@ def original_vs_corrected(layers: DataFrame) -> DataFrame:
 
 
 _FROM_METADATA = [
-    "as_of_year",
-    "as_of_month",
     "added_by_correction",
     "is_valid",
     "total_issues",
@@ -200,8 +222,10 @@ _FROM_METADATA = [
 ]
 
 
+@per_snapshot
 def report(layers: DataFrame, metadata: DataFrame) -> DataFrame:
-    """The nested quality report: one row per symbol that has an original layer and metadata."""
+    """The nested quality report: one row per symbol and snapshot (``as_of_year`` and
+    ``as_of_month`` of both frames) that has an original layer and metadata."""
     original = _layer(layers, ORIGINAL)
     has_corrected = layers.where(F.col("layer") == CORRECTED).select(SYMBOL).distinct()
     uncorrected = original.join(has_corrected, SYMBOL, "left_anti")
@@ -217,7 +241,7 @@ def report(layers: DataFrame, metadata: DataFrame) -> DataFrame:
     )
     return joined.select(
         SYMBOL,
-        F.format_string("%d-%02d", "as_of_year", "as_of_month").alias("period"),
+        F.format_string("%d-%02d", f"{SYMBOL}.as_of_year", f"{SYMBOL}.as_of_month").alias("period"),
         F.struct(
             F.col("start_date").alias("start"), F.col("end_date").alias("end"), "total_days"
         ).alias("date_range"),

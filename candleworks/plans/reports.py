@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candleworks.operators import analytics, quality
-from candleworks.schema import CORRECTED, SYMBOL
+from candleworks.schema import AS_OF, CORRECTED, SYMBOL
+from candleworks.sources.store import latest_snapshots
 
 
 def _nested(frame: DataFrame, name: str) -> DataFrame:
@@ -15,13 +16,15 @@ def _nested(frame: DataFrame, name: str) -> DataFrame:
 
 
 def report_dataset(layers: DataFrame, metadata: DataFrame) -> DataFrame:
-    """(symbol, quality, financial, volume, comparison) for every symbol."""
+    """(symbol, quality, financial, volume, comparison) of every symbol's latest snapshot."""
+    layers = latest_snapshots(layers)
+    metadata = latest_snapshots(metadata)
     corrected = layers.where(F.col("layer") == CORRECTED).drop("layer")
     return (
-        _nested(quality.report(layers, metadata), "quality")
+        _nested(quality.report(layers, metadata).drop(*AS_OF), "quality")
         .join(_nested(analytics.summary(corrected), "financial"), SYMBOL)
         .join(_nested(analytics.volume_report(corrected), "volume"), SYMBOL)
-        .join(_nested(quality.original_vs_corrected(layers), "comparison"), SYMBOL)
+        .join(_nested(quality.original_vs_corrected(layers).drop(*AS_OF), "comparison"), SYMBOL)
     )
 
 

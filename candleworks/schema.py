@@ -40,3 +40,6 @@ BARS = T.StructType(
 
 ORIGINAL = "original"
 CORRECTED = "corrected"
+
+# A snapshot of a symbol: its history as known in a month.
+AS_OF = ["as_of_year", "as_of_month"]

@@ -27,13 +27,16 @@ def local_session(cores: str = "8", app: str = "candleworks", **conf: str) -> Sp
 def work_root(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (a local test run) a temporary folder of
-    this machine is taken, and set in the session so that later calls share it.
+    Only a local session without one (as in tests) takes a temporary folder of this
+    machine, and sets it so that later calls share it; on a cluster that is an error,
+    since executors would write to their own disks.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
+            raise RuntimeError("name a folder that all executors share in spark.checkpoint.dir")
         root = tempfile.mkdtemp(prefix="candleworks-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
@@ -53,3 +56,9 @@ def staged(frame: DataFrame, label: str) -> DataFrame:
 def fresh_folder(spark: SparkSession, label: str) -> str:
     """A folder name under the work root that no other run uses."""
     return f"{work_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Removes a folder of this library's own, wherever it is."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -49,17 +49,29 @@ def _series_of(payload: Column) -> Column:
 
 
 def _points(landed: DataFrame) -> DataFrame:
-    """One row per point: the landed columns, _date (text) and _fields without 'N. ' prefixes."""
+    """One row per point: the landed columns, _date (text) and _fields, an array of
+    (name, value) with names without 'N. ' prefixes. A name may occur more than once."""
     kept = [c for c in landed.columns if c != "payload"]
     series = F.from_json(_series_of(F.col("payload")), _SERIES)
     points = landed.select(*kept, F.explode(series).alias("_date", "_raw"))
-    names = lambda k, v: F.regexp_replace(k, r"^\d+\. ", "")
-    return points.withColumn("_fields", F.transform_keys("_raw", names)).drop("_raw")
+    plain = lambda e: F.struct(
+        F.regexp_replace(e["key"], r"^\d+\. ", "").alias("name"), e["value"].alias("value")
+    )
+    return points.withColumn("_fields", F.transform(F.map_entries("_raw"), plain)).drop("_raw")
+
+
+def _named(field: str) -> Column:
+    return F.filter("_fields", lambda e: e["name"] == field)
 
 
 def _number(field: str) -> Column:
-    """A field as a double; empty or bad text is null."""
-    return no_nan(F.try_element_at("_fields", F.lit(field)).try_cast("double"))
+    """The first field of that name as a double; empty or bad text is null."""
+    return no_nan(F.try_element_at(_named(field), F.lit(1))["value"].try_cast("double"))
+
+
+def _volume(number: Column) -> Column:
+    """A whole volume: 0 where there is none, null where it is too large."""
+    return F.when(number.isNull(), F.lit(0)).otherwise(number.try_cast("bigint"))
 
 
 def timeseries_bars(landed: DataFrame) -> DataFrame:
@@ -69,7 +81,7 @@ def timeseries_bars(landed: DataFrame) -> DataFrame:
     :func:`payload_errors`.
     """
     kept = [c for c in landed.columns if c not in ("payload", SYMBOL)]
-    known = F.map_contains_key("_fields", F.lit("open"))
+    known = F.size(_named("open")) > 0
     rows = (
         _points(landed)
         .where(known)
@@ -78,7 +90,7 @@ def timeseries_bars(landed: DataFrame) -> DataFrame:
             SYMBOL,
             *[_number(c).alias(c) for c in OHLC],
             _number("adjusted close").alias("adj_close"),
-            F.coalesce(_number("volume"), F.lit(0.0)).cast("bigint").alias("volume"),
+            _volume(_number("volume")).alias("volume"),
             *kept,
         )
     )
@@ -105,7 +117,7 @@ def values_bars(landed: DataFrame) -> DataFrame:
             F.col("datetime").try_cast("timestamp_ntz").alias(DATETIME),
             SYMBOL,
             *[number(c).alias(c) for c in OHLC],
-            F.coalesce(number("volume"), F.lit(0.0)).cast("bigint").alias("volume"),
+            _volume(number("volume")).alias("volume"),
         )
     )
 
@@ -153,6 +165,23 @@ def payload_errors(landed: DataFrame) -> DataFrame:
     return bad.select(SYMBOL, "status", F.coalesce(*texts).alias("detail"))
 
 
+def point_errors(landed: DataFrame) -> DataFrame:
+    """(symbol, date_text, detail) of the points that parsed in part only.
+
+    None of them stops a run: of repeated names the first counts, a date that is none and
+    a volume beyond 64 bits become null.
+    """
+    number = _number("volume")
+    details = F.array_compact(
+        F.array(
+            F.when(F.size(F.array_distinct(F.transform("_fields", lambda e: e["name"]))) < F.size("_fields"), "repeated_name"),
+            F.when(F.col("_date").try_cast("timestamp_ntz").isNull(), "bad_date"),
+            F.when(number.isNotNull() & number.try_cast("bigint").isNull(), "volume_overflow"),
+        )
+    )
+    return _points(landed).select(SYMBOL, F.col("_date").alias("date_text"), F.explode(details).alias("detail"))
+
+
 # --- rendering -------------------------------------------------------------
 
 

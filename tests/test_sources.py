@@ -44,6 +44,20 @@ def test_series_variants(spark):
     assert len(generic) == 3
 
 
+def test_no_point_stops_a_run(spark):
+    both = {"open": "7", **POINT}
+    documents = landed(
+        spark,
+        A={"Time Series (Daily)": {"2025-01-06": {**both, "5. volume": "1e30"}, "someday": {**POINT, "5. volume": "NaN"}}},
+    )
+    rows = sorted(payloads.timeseries_bars(documents).collect(), key=lambda r: r.date is None)
+    assert [(r.date, r.open, r.volume) for r in rows] == [(dt.date(2025, 1, 6), 7.0, None), (None, 100.0, 0)]
+    details = {(r.date_text, r.detail) for r in payloads.point_errors(documents).collect()}
+    assert details == {("2025-01-06", "repeated_name"), ("2025-01-06", "volume_overflow"), ("someday", "bad_date")}
+    text = spark.createDataFrame([("NaN",), ("1.5",), ("x",)], "close string")
+    assert [r.close for r in projections.coerce_numeric(text, ["close"]).collect()] == [None, 1.5, None]
+
+
 def test_values_and_quotes(spark):
     values = [{"datetime": "2025-01-06", "open": "100", "high": "105", "low": "95", "close": "bad", "volume": None}]
     row = payloads.values_bars(landed(spark, V={"status": "ok", "values": values})).collect()[0]
@@ -100,14 +114,17 @@ def test_look_back_and_compact(spark):
     assert projections.look_back(bars, 7).count() == 7
 
 
-def test_upsert_is_idempotent_and_new_rows_win(spark):
+def test_upsert_is_idempotent_and_the_highest_ingest_seq_wins(spark):
     old = frames.bars(spark, frames.base_rows())
-    new = frames.bars(spark, frames.base_rows(close={2: 999.0})[:3]).withColumn("ingest_seq", F.lit(0))
+    new = frames.bars(spark, frames.base_rows(close={2: 999.0})[:3])
     once = relational.merge_upsert(old, new)
     twice = relational.merge_upsert(once, new)
     rows = lambda df: sorted((r.date, r.close) for r in df.collect())
     assert rows(once) == rows(twice)
+    # Of equal ingest_seq the new row wins, a lower one loses whichever comes last.
     assert len(rows(once)) == 6 and rows(once)[2][1] == 999.0
+    assert rows(relational.merge_upsert(old, new.withColumn("ingest_seq", F.lit(0)))) == rows(old)
+    assert rows(relational.merge_upsert(new.withColumn("ingest_seq", F.lit(0)), old)) == rows(old)
 
 
 def save(store, bars):
