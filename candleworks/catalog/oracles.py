@@ -1078,6 +1078,48 @@ SQL["fm_compare_models"] = _with(
 SQL["fc_prepare"] = _with(
     _DIRTY, "SELECT symbol, date AS ds, close AS y FROM dirty WHERE volume <> 0"
 )
+def _line(source: str) -> str:
+    """Table ``line``: a straight line through each symbol's closes, by least squares."""
+    return f""",
+placed AS (
+  SELECT *, date_diff('day', min(date) OVER (PARTITION BY symbol), date)
+              / date_diff('day', min(date) OVER (PARTITION BY symbol), max(date) OVER (PARTITION BY symbol)) AS t
+  FROM {source}),
+line AS (
+  SELECT symbol, count(*) AS n, min(date) AS a, max(date) AS b,
+         CAST(date_diff('day', min(date), max(date)) AS DOUBLE) AS days,
+         regr_intercept(close, t) AS level, regr_slope(close, t) AS slope,
+         sqrt((regr_syy(close, t) - regr_sxy(close, t) ** 2 / regr_sxx(close, t)) / count(*)) AS sigma
+  FROM placed GROUP BY symbol)"""
+
+
+SQL["fc_fit_line"] = _with(
+    _BARS + _line("bars"),
+    """
+SELECT symbol, n, days, round(level, 4) AS start_level, round(slope, 4) AS change, round(sigma, 4) AS deviation
+FROM line""",
+)
+SQL["fc_predict_line"] = _with(
+    _BARS + _line("bars"),
+    """
+, ahead AS (
+  SELECT symbol, b + CAST(k AS INTEGER) AS date, sigma,
+         level + slope * (date_diff('day', a, b) + k) / days AS p
+  FROM line, unnest(generate_series(1, 30)) AS g(k))
+SELECT symbol, date, round(p, 4) AS predicted_price, round(p - 1.2816 * sigma, 4) AS lower_bound,
+       round(p + 1.2816 * sigma, 4) AS upper_bound
+FROM ahead""",
+)
+SQL["fc_evaluate_line"] = _with(
+    _BARS
+    + ",\ntrain AS (SELECT * FROM bars WHERE date <= DATE '2000-12-31')"
+    + _line("train"),
+    """
+, scored AS (
+  SELECT symbol, close - (level + slope * date_diff('day', a, date) / days) AS e
+  FROM bars JOIN line USING (symbol) WHERE date > DATE '2000-12-31')
+SELECT symbol, round(sqrt(avg(e ** 2)), 4) AS rmse, round(avg(abs(e)), 4) AS mae FROM scored GROUP BY symbol""",
+)
 SQL["fc_future_frame"] = _with(
     _BARS,
     """

@@ -944,6 +944,39 @@ def fc_evaluate(spark, sf_dir):
     return fc.evaluate(test, fc.fit(fc.prepare(train)))
 
 
+#: A straight line by ordinary least squares, which SQL can fit as well.
+_LINE = fc.Model(changepoints=0, yearly=0, weekly=0, trend_prior=float("inf"), seasonality_prior=float("inf"))
+
+
+@query
+def fc_fit_line(spark, sf_dir):
+    fitted = fc.fit(_training(spark, sf_dir), _LINE)
+    level = lambda x: F.round(x * F.col("y_scale"), 4)
+    return fitted.select(
+        SYMBOL,
+        "n",
+        "days",
+        level(F.col("coefficients")[0]).alias("start_level"),
+        level(F.col("coefficients")[1]).alias("change"),
+        level(F.col("sigma")).alias("deviation"),
+    )
+
+
+@query
+def fc_predict_line(spark, sf_dir):
+    train = _training(spark, sf_dir)
+    rows = fc.predictions(fc.predict(fc.future_frame(train, 30), fc.fit(train, _LINE), _LINE))
+    digits = {"predicted_price": 4, "lower_bound": 4, "upper_bound": 4}
+    return _plain(rows, digits)
+
+
+@query
+def fc_evaluate_line(spark, sf_dir):
+    train, test = _split(spark, sf_dir)
+    scores = fc.evaluate(test, fc.fit(fc.prepare(train), _LINE), _LINE)
+    return _plain(scores, {k: v for k, v in _METRIC_DIGITS.items() if k in scores.columns}).select(SYMBOL, "rmse", "mae")
+
+
 @query
 def fc_changepoints(spark, sf_dir):
     return _plain(fc.changepoints(_fitted(spark, sf_dir)))

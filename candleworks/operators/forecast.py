@@ -2,9 +2,10 @@
 
 The model is additive (Taylor & Letham, "Forecasting at Scale", 2018): a piecewise
 linear trend, Fourier terms for the seasons, optional regressors. It is fitted as a
-penalised least-squares problem. Spark builds the design vectors, every task adds up
-their products per symbol, and the sums of all tasks are merged by an aggregate, so
-a fit never needs a symbol's rows in one place. Only the solving of one small system
+penalised least-squares problem; without changes, seasons and priors that is ordinary
+least squares. Spark builds the design vectors, every task adds up their products per
+symbol, and the sums of all tasks are merged by an aggregate, so a fit never needs a
+symbol's rows in one place. Only the solving of one small system
 per symbol runs as a numpy helper.
 """
 
@@ -60,6 +61,7 @@ class Model:
     changepoint_range: float = 0.8
     changepoint_prior: float = 0.05
     seasonality_prior: float = 10.0
+    trend_prior: float = 5.0
     yearly: int = 10
     weekly: int = 3
     daily: int = 0
@@ -123,51 +125,66 @@ def _design(model: Model) -> Column:
     return F.array(*terms)
 
 
+#: Rows whose products are added up in one task before they are sent on.
+GRAM_ROWS = 65_536
+
+
 def _gram(size: int):
-    """Sums of products of (design, y) per symbol, over the rows of one task."""
-    width = size + 1
-    schema = pa.schema([("symbol", pa.string()), ("products", pa.list_(pa.float64()))])
+    """Sums of products of (design, y) per run of rows of a symbol, as upper triangles.
 
-    def flush(total: dict) -> pa.RecordBatch:
-        products = [m.ravel() for m in total.values()]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(list(total), pa.string()), pa.array(products, pa.list_(pa.float64()))],
-            schema=schema,
-        )
+    The rows come sorted by symbol: a task holds one matrix, whatever it meets.
+    """
+    width = size + 1
+    upper = np.triu_indices(width)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[str, np.ndarray] = {}
+        current, total = None, None
         for batch in batches:
             rows = batch.column("row").flatten().to_numpy().reshape(-1, width)
             coded = batch.column("symbol").dictionary_encode()
-            codes = coded.indices.to_numpy()
-            for i, symbol in enumerate(coded.dictionary.to_pylist()):
-                mine = rows[codes == i]
-                part = mine.T @ mine
-                total[symbol] = total[symbol] + part if symbol in total else part
-            # A task holds a bounded number of matrices, however many symbols it meets.
-            if len(total) >= 512:
-                yield flush(total)
-                total = {}
-        if total:
-            yield flush(total)
+            names, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(codes)) + 1).tolist(), len(codes)]
+            done: list[tuple[str, np.ndarray]] = []
+            for first, end in zip(cuts, cuts[1:]):
+                if first == end:
+                    continue
+                symbol, part = names[codes[first]], rows[first:end].T @ rows[first:end]
+                if symbol == current:
+                    total = total + part
+                    continue
+                if current is not None:
+                    done.append((current, total[upper]))
+                current, total = symbol, part
+            if done:
+                yield _triangles(done)
+        if current is not None:
+            yield _triangles([(current, total[upper])])
 
     return run
 
 
+def _triangles(rows: list[tuple[str, np.ndarray]]) -> pa.RecordBatch:
+    kinds = (pa.string(), pa.list_(pa.float64()))
+    columns = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
+    return pa.RecordBatch.from_arrays(columns, names=["symbol", "products"])
+
+
 def _solve(model: Model):
     size = model.size()
     trend = np.arange(size) < 2
     deltas = (np.arange(size) >= 2) & (np.arange(size) < 2 + model.changepoints)
+    upper = np.triu_indices(size + 1)
 
     def one(products: np.ndarray, n: int) -> tuple[np.ndarray, float]:
-        m = np.asarray(products).reshape(size + 1, size + 1)
+        m = np.zeros((size + 1, size + 1))
+        m[upper] = products
+        m = np.triu(m) + np.triu(m, 1).T
         xx, xy, yy = m[:size, :size], m[:size, size], m[size, size]
         beta = np.zeros(size)
         noise = max(yy / max(n, 1), 1e-12)
         # The trend changes have a Laplace prior, which is reweighted to a ridge.
         weight = np.full(size, 1 / model.seasonality_prior**2)
-        weight[trend] = 1 / 25.0
+        weight[trend] = 1 / model.trend_prior**2
         for _ in range(20):
             size_now = np.maximum(np.abs(beta[deltas]), 1e-6) if beta.any() else model.changepoint_prior
             weight[deltas] = 1 / (model.changepoint_prior * size_now)
@@ -204,7 +221,11 @@ def fit(training: DataFrame, model: Model = Model()) -> DataFrame:
         F.max(F.abs("y")).alias("y_scale"),
     )
     scaled = F.coalesce(ratio("y", "y_scale"), F.lit(0.0))
-    rows = spread_join(training, ranges, [SYMBOL], "ds").select(
+    # Short rows are shuffled and not their products: a symbol's rows meet in runs of
+    # GRAM_ROWS, however many symbols there are, and a long series is spread over tasks.
+    run = F.pmod(F.xxhash64("ds"), F.ceil(F.col("n") / GRAM_ROWS))
+    joined = training.join(ranges.drop("train_end"), SYMBOL).withColumn("_run", run)
+    rows = joined.repartition(SYMBOL, "_run").sortWithinPartitions(SYMBOL).select(
         SYMBOL, F.concat(_design(model), F.array(scaled)).alias("row")
     )
     sums = (

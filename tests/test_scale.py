@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -84,3 +85,26 @@ def test_holiday_table(spark, raw):
     marked = forecast.with_holiday_table(raw, table, ["epiphany"])
     assert marked.where("epiphany = 1").count() == raw.where("date = date'2025-01-06'").count()
     assert marked.count() == raw.count()
+
+
+def test_forecast_products_are_no_larger_than_their_rows():
+    """At 10,000 symbols of 30 rows a task sends less than it gets, one triangle a symbol."""
+    import pyarrow as pa
+
+    from candleworks.operators.forecast import Model, _gram
+
+    size = Model().size()
+    rng = np.random.default_rng(0)
+
+    def batches():
+        for at in range(0, 10_000, 100):
+            rows = rng.normal(size=(3_000, size + 1))
+            names = np.repeat([f"S{i:05d}" for i in range(at, at + 100)], 30)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(names), pa.array(list(rows), pa.list_(pa.float64()))], names=["symbol", "row"]
+            )
+
+    sent = list(_gram(size)(batches()))
+    assert sum(b.num_rows for b in sent) == 10_000
+    given = 10_000 * 30 * (size + 1)
+    assert sum(len(b.column("products").flatten()) for b in sent) <= given
