@@ -31,3 +31,69 @@ FROM turns
 GROUP BY conv_id
 """,
 }
+
+
+def _host(url: str) -> str:
+    letters = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+    return f"translate(coalesce(regexp_extract({url}, '://([^/?#]*)', 1), ''), {letters})"
+
+
+def _rank_rounds(rounds: int) -> str:
+    """Tables rank1, rank2, ...: what flows along links, and what returns to the seeds."""
+    return ",".join(
+        f"""
+sent{i} AS (
+    SELECT e.kind, e.dst AS host, sum(r.rank * e.share * 0.85) AS got
+    FROM edges e JOIN rank{i - 1} r ON r.kind = e.kind AND r.host = e.src GROUP BY 1, 2),
+passed{i} AS (
+    SELECT kind, sum(rank) * 0.85 AS passed FROM rank{i - 1}
+    WHERE (kind, host) IN (SELECT (kind, src) FROM edges) GROUP BY kind),
+rank{i} AS MATERIALIZED (
+    SELECT kind, host, coalesce(s.seed * (1 - coalesce(p.passed, 0)), 0) + coalesce(t.got, 0) AS rank
+    FROM seeds s LEFT JOIN passed{i} p USING (kind) FULL JOIN sent{i} t USING (kind, host))"""
+        for i in range(1, rounds + 1)
+    )
+
+
+SQL["op1_url_trust"] = f"""
+WITH rules(rule, verdict) AS (
+    VALUES ('org/', 'allow'), ('example.org/es/', 'block'), ('example.org/en/1', 'block'), ('com/fr/', 'allow'),
+           ('com/de/', 'block')
+), parts AS (
+    SELECT row_number() OVER () AS n, page_id, html, {_host("url")} AS host,
+        coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path
+    FROM pages
+), matched AS (
+    SELECT n, rule, verdict
+    FROM parts JOIN rules
+        ON (host = split_part(rule, '/', 1) OR ends_with(host, '.' || split_part(rule, '/', 1)))
+        AND starts_with(path, substr(rule, length(split_part(rule, '/', 1)) + 1))
+    QUALIFY row_number() OVER (PARTITION BY n ORDER BY length(rule) DESC, rule DESC) = 1
+), judged AS (
+    SELECT p.*, m.rule, m.verdict AS rule_verdict FROM parts p LEFT JOIN matched m USING (n)
+), hrefs AS (
+    SELECT host AS src, unnest(regexp_extract_all(html, '(?i)<a\\s[^>]*?href\\s*=\\s*["'']?([^"''\\s>]+)', 1)) AS href FROM parts
+), links AS (
+    SELECT src, {_host("CASE WHEN starts_with(href, '//') THEN 'http:' || href ELSE href END")} AS dst, count(*) AS links
+    FROM hrefs WHERE regexp_matches(href, '^([A-Za-z][A-Za-z0-9+.-]*:)?//') GROUP BY 1, 2
+), directed AS (
+    SELECT 'trust' AS kind, src, dst, links FROM links WHERE src <> '' AND dst <> '' AND src <> dst
+    UNION ALL
+    SELECT 'distrust', dst, src, links FROM links WHERE src <> '' AND dst <> '' AND src <> dst
+), edges AS MATERIALIZED (
+    SELECT kind, src, dst, links / sum(links) OVER (PARTITION BY kind, src) AS share FROM directed
+), weights AS (
+    SELECT CASE rule_verdict WHEN 'allow' THEN 'trust' ELSE 'distrust' END AS kind, host, count(*) AS weight
+    FROM judged WHERE rule IS NOT NULL AND host <> '' GROUP BY 1, 2
+), seeds AS MATERIALIZED (
+    SELECT kind, host, weight / sum(weight) OVER (PARTITION BY kind) AS seed FROM weights
+), rank0 AS (SELECT kind, host, seed AS rank FROM seeds),{_rank_rounds(20)},
+hosts AS (
+    SELECT host, round(sum(CASE WHEN kind = 'trust' THEN rank ELSE 0 END), 12) AS trust,
+        round(sum(CASE WHEN kind = 'distrust' THEN rank ELSE 0 END), 12) AS distrust
+    FROM rank20 GROUP BY host)
+SELECT page_id, host, path, rule,
+    coalesce(rule_verdict, CASE WHEN distrust > trust THEN 'block' ELSE 'allow' END) AS verdict,
+    coalesce(trust, 0) AS trust, coalesce(distrust, 0) AS distrust
+FROM judged LEFT JOIN hosts USING (host)
+"""

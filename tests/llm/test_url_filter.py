@@ -1,6 +1,8 @@
+import duckdb
+import oracle
 import pytest
 
-from candleworks.llm import queries, url_filter
+from candleworks.llm import oracles, queries, url_filter
 from candleworks.llm.url_filter import Rule
 
 PAGES = "page_id long, url string, html string, host string, verdict string"
@@ -108,3 +110,16 @@ def test_registered_query(spark):
     for r in rows:
         rule = fitting(urls[r.page_id])
         assert r.rule == (rule and rule.pattern) and (not rule or r.verdict == rule.verdict)
+
+
+def test_sql_gives_the_same(spark, linked):
+    sf_dir, name = "/root/testdata/sf0.001", "op1_url_trust"
+    assert oracle.differences(spark, oracle.connect(sf_dir), sf_dir, queries.QUERIES[name], oracles.SQL[name]) == []
+    # And over hosts that link to each other.
+    con = duckdb.connect()
+    con.register("pages", linked[0].select("page_id", "url", "html").toPandas())
+    want = {r[0]: r[1:] for r in con.execute(oracles.SQL[name]).fetchall()}
+    for r in url_filter.judge(linked[0]).collect():
+        host, path, rule, verdict, trust, distrust = want[r.page_id]
+        assert (r.host, r.path, r.rule, r.verdict) == (host, path, rule, verdict)
+        assert abs(r.trust - trust) < 1e-9 and abs(r.distrust - distrust) < 1e-9
