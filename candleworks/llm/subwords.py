@@ -81,6 +81,16 @@ def bags(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray, ngrams: tuple[
     )
 
 
+def together(parts: list[Bags]) -> Bags:
+    """The rows of several Bags, one after the other."""
+    sizes = np.concatenate([np.diff(p.offsets) for p in parts])
+    return Bags(
+        np.concatenate([p.columns for p in parts]),
+        np.concatenate([p.shares for p in parts]),
+        np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64),
+    )
+
+
 class SubwordSoftmax:
     """The trained parameters: embeddings (buckets x width), weights (width x classes), bias."""
 

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candleworks.llm.subwords import SubwordSoftmax, bags, prepared
+from candleworks.llm.subwords import SubwordSoftmax, bags, prepared, together
 from candleworks.llm.text import in_share, in_slices, ngram_buckets, sample_share, span_sums
 
 BITS = 17
@@ -35,7 +35,7 @@ TOP = 3
 #: Labelled documents the model is fitted on, at most about so many of either class, and
 #: the longest of them.
 MAX_TRAINING = 3_000
-MAX_TRAINING_CHARS = 20_000
+MAX_TRAINING_CHARS = 12_000
 WHOLE_ROUNDS, ROUNDS = 3, 12
 BATCH = 32
 RATE = 0.5
@@ -154,8 +154,6 @@ def train(texts: list[str], labels: list[int], counts: tuple[int, int] | None =
     stands_for = (np.asarray(counts or own_counts) / own_counts)[y]
     weight = np.sqrt(own_counts.max() / own_counts)[y].astype(np.float32)
     random = np.random.default_rng(0)
-    codes, starts, ends = prepared(texts)
-    w_start, w_end, owner = windows(codes, starts, ends)
     back = random.random(len(y)) < HELD_BACK
     if len(set(y[~back])) < 2 or len(set(y[back])) < 2:
         back[:] = False
@@ -165,17 +163,23 @@ def train(texts: list[str], labels: list[int], counts: tuple[int, int] | None =
         for rows in np.array_split(random.permutation(len(x)), max(1, len(x) // BATCH)):
             model.step(x.take(rows), classes[rows], weights[rows], rate)
 
-    own = np.flatnonzero(~back)
+    # In slices of the sample, which bound the memory of the n-gram arrays.
+    slices = [(np.arange(first, first + len(part)), *prepared(part)) for first, part in in_slices(texts)]
     # First whole texts, so that the windows are not chosen by chance.
-    whole = bags(codes, starts[own], ends[own], NGRAMS, BITS)
     for _ in range(WHOLE_ROUNDS):
-        steps(whole, y[own], weight[own], RATE)
+        for rows, codes, starts, ends in slices:
+            own = ~back[rows]
+            steps(bags(codes, starts[own], ends[own], NGRAMS, BITS), y[rows[own]], weight[rows[own]], RATE)
     for turn in range(ROUNDS):
-        order, place = _worst_first(window_margins(codes, w_start, w_end, _fixed(model)[0]), owner)
-        top = order[place < TOP]
-        top = top[~back[owner[top]]]
-        x = bags(codes, w_start[top], w_end[top], NGRAMS, BITS)
-        steps(x, y[owner[top]], weight[owner[top]], RATE * (1 - turn / ROUNDS))
+        table, worst, owners = _fixed(model)[0], [], []
+        for rows, codes, starts, ends in slices:
+            w_start, w_end, owner = windows(codes, starts, ends)
+            order, place = _worst_first(window_margins(codes, w_start, w_end, table), owner)
+            top = order[(place < TOP) & ~back[rows[owner[order]]]]
+            worst.append(bags(codes, w_start[top], w_end[top], NGRAMS, BITS))
+            owners.append(rows[owner[top]])
+        owner = np.concatenate(owners)
+        steps(together(worst), y[owner], weight[owner], RATE * (1 - turn / ROUNDS))
     margins, bias = _fixed(model)
     check = back if back.any() else ~back
     worst = ToxicityModel(margins, bias, np.zeros(3)).worst([t for t, c in zip(texts, check) if c])
