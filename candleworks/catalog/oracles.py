@@ -241,6 +241,16 @@ bad AS (
   SELECT symbol, string_agg(DISTINCT rule_id, ',' ORDER BY rule_id) AS reasons
   FROM found WHERE severity = 'CRITICAL' GROUP BY symbol)"""
 
+# What the repair of the accepted symbols changes: days filled in.
+_REPAIRED = """,
+repaired AS (
+  SELECT symbol FROM (
+    SELECT symbol, date_diff('day', date, lead(date) OVER (PARTITION BY symbol ORDER BY date)) - 1 AS m
+    FROM mixed WHERE symbol NOT IN (SELECT symbol FROM bad))
+  GROUP BY symbol HAVING count(*) FILTER (m BETWEEN 1 AND 2) > 0),
+every_issue AS (
+  SELECT symbol, rule_id, severity FROM found UNION ALL SELECT symbol, 'fix_interpolate', 'INFO' FROM repaired)"""
+
 # Mixed bars of the symbols that pass the gate; the stored layers hold them.
 _EVEN = _MIXED_ISSUES + _BAD + """,
 even AS (SELECT * FROM mixed WHERE symbol NOT IN (SELECT symbol FROM bad))"""
@@ -354,9 +364,10 @@ JOIN latest USING (symbol) JOIN counted i USING (symbol)"""
 SQL["src_metadata"] = _with(
     _STORED
     + _PERIOD
+    + _REPAIRED
     + """,
 counted AS (
-  SELECT symbol, count(*) AS n, count(*) FILTER (severity = 'WARNING') AS w FROM found GROUP BY symbol)""",
+  SELECT symbol, count(*) AS n, count(*) FILTER (severity = 'WARNING') AS w FROM every_issue GROUP BY symbol)""",
     _METADATA,
 )
 _ALL_STORED = (
@@ -655,14 +666,14 @@ UNION ALL SELECT symbol, ingest_seq, date, 'vr_gap_suspicious', '' FROM lagged W
 )
 
 SQL["vr_summary"] = _with(
-    _MIXED_ISSUES,
+    _MIXED_ISSUES + _BAD + _REPAIRED,
     """
 SELECT s.symbol, count(*) FILTER (severity = 'CRITICAL') = 0 AS is_valid, count(rule_id) AS total_issues,
        count(*) FILTER (severity = 'CRITICAL') AS critical_count,
        count(*) FILTER (severity = 'WARNING') AS warning_count,
        count(*) FILTER (severity = 'INFO') AS info_count,
        count(*) FILTER (severity = 'CRITICAL') = 0 AS has_corrections
-FROM (SELECT DISTINCT symbol FROM mixed) s LEFT JOIN found USING (symbol) GROUP BY s.symbol""",
+FROM (SELECT DISTINCT symbol FROM mixed) s LEFT JOIN every_issue USING (symbol) GROUP BY s.symbol""",
 )
 SQL["vr_gate"] = _with(
     _MIXED_ISSUES + _BAD,
@@ -681,6 +692,28 @@ SQL["fix_sort"] = _with(
 SELECT symbol, NOT coalesce(bool_or(back), FALSE) AS was_sorted, coalesce(bool_or(back), FALSE) AS out_of_order
 FROM steps GROUP BY symbol""",
 )
+SQL["fix_dedup_date_issues"] = _with(
+    _DIRTY,
+    """
+SELECT symbol, 'duplicate_dates' AS issue_type, 'INFO' AS severity, count(*) - count(DISTINCT date) AS affected
+FROM dirty GROUP BY symbol HAVING count(*) > count(DISTINCT date)""",
+)
+SQL["fix_sort_issues"] = _with(
+    _BARS,
+    f"""
+, seq AS (
+  SELECT symbol, date, ingest_seq + CASE WHEN {_NUMBER} % 2 = 1 AND ingest_seq % 5 = 0 THEN 10000000 ELSE 0 END AS seq
+  FROM bars),
+steps AS (SELECT symbol, date < lag(date) OVER (PARTITION BY symbol ORDER BY seq) AS back FROM seq)
+SELECT symbol, 'out_of_order' AS issue_type, 'INFO' AS severity, CAST(1 AS BIGINT) AS affected
+FROM steps GROUP BY symbol HAVING bool_or(back)""",
+)
+SQL["fix_interpolate_issues"] = _with(
+    _BARS + "," + _filled("bars"),
+    """
+SELECT symbol, 'missing_dates' AS issue_type, 'INFO' AS severity, count(*) AS affected
+FROM corrected WHERE is_filled GROUP BY symbol""",
+)
 SQL["fix_missing_runs"] = _with(
     _BARS,
     """

@@ -130,7 +130,7 @@ def _stored(spark: SparkSession, sf_dir: str) -> store.BarStore:
     if key not in _STORES:
         target = store.BarStore(spark, fresh_folder(spark, "store"))
         bars = staged(fx.mixed_bars(spark, sf_dir), "bars")
-        found = staged(rules.issues(bars), "issues")
+        found = staged(fix.run_issues(bars, staged(rules.issues(bars), "issues")), "run-issues")
         corrected = fix.corrected_layer(rules.accepted(bars, found))
         target.save(bars, corrected, found, csv=True)
         _STORES[key] = target.root
@@ -555,8 +555,9 @@ def vr_violations(spark, sf_dir):
 
 @query
 def vr_summary(spark, sf_dir):
-    bars = fx.mixed_bars(spark, sf_dir)
-    return rules.summary(bars, rules.issues(bars))
+    """Issues of the validation, and of the repair for the symbols that pass."""
+    bars = staged(fx.mixed_bars(spark, sf_dir), "bars")
+    return rules.summary(bars, fix.run_issues(bars, staged(rules.issues(bars), "issues")))
 
 
 @query
@@ -585,6 +586,28 @@ def fix_sort(spark, sf_dir):
     return fix.sort_flags(fx.mixed_bars(spark, sf_dir))
 
 
+def _repairs(bars: DataFrame, issue_type: str) -> DataFrame:
+    return fix.correction_issues(bars).where(F.col("issue_type") == issue_type)
+
+
+@query
+def fix_dedup_date_issues(spark, sf_dir):
+    return _repairs(fx.dirty_bars(spark, sf_dir), "duplicate_dates")
+
+
+@query
+def fix_sort_issues(spark, sf_dir):
+    """Every fifth bar of the odd brands comes late: its ingest_seq lies behind all others."""
+    late = (fx.brand_number() % 2 == 1) & (F.col(SEQ) % 5 == 0)
+    moved = F.when(late, F.col(SEQ) + 10_000_000).otherwise(F.col(SEQ))
+    return _repairs(fx.bars_by_brand(spark, sf_dir).withColumn(SEQ, moved), "out_of_order")
+
+
+@query
+def fix_interpolate_issues(spark, sf_dir):
+    return _repairs(fx.bars_by_brand(spark, sf_dir), "missing_dates")
+
+
 @query
 def fix_missing_runs(spark, sf_dir):
     return fix.missing_runs(fx.bars_by_brand(spark, sf_dir))

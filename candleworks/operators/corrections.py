@@ -13,11 +13,20 @@ from candleworks.functions.columns import is_weekend, time_of_day
 from candleworks.functions.series import before, so_far
 from candleworks.operators.projections import normalize_types
 from candleworks.operators.quality import is_sorted
+from candleworks.operators.rules import accepted
 from candleworks.schema import BAR_COLUMNS, DATETIME, OHLC, PRICES, SEQ, SYMBOL
 
 # Fixed value: the longest run of missing days that is filled.
 MAX_FILL = 2
 
+# The repair behind each type of finding.
+REPAIRS = {
+    "duplicate_dates": "fix_dedup_date",
+    "out_of_order": "fix_sort",
+    "missing_dates": "fix_interpolate",
+    "wrong_type": "fix_types",
+}
+
 CALENDARS = ("all_days", "weekdays")
 
 
@@ -224,3 +233,11 @@ def correction_issues(
     return found.where(F.col("affected") > 0).select(
         SYMBOL, "issue_type", F.lit("INFO").alias("severity"), "affected"
     )
+
+
+def run_issues(bars: DataFrame, found: DataFrame) -> DataFrame:
+    """``found`` and, for the symbols it lets pass, what their repair changes, as issues."""
+    changed = correction_issues(accepted(bars, found))
+    names = F.create_map(*[F.lit(x) for pair in REPAIRS.items() for x in pair])
+    rows = changed.select(SYMBOL, names[F.col("issue_type")].alias("rule_id"), "issue_type", "severity", "affected")
+    return found.unionByName(rows, allowMissingColumns=True)

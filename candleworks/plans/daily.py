@@ -19,7 +19,8 @@ SUCCESSFUL, FAILED, SKIPPED = "successful", "failed", "skipped"
 
 @dataclass
 class RunResult:
-    """``status``: one row per requested symbol; ``issues``: what validation found."""
+    """``status``: one row per requested symbol; ``issues``: what validation found and what
+    the repair of the accepted symbols changed."""
 
     status: DataFrame
     issues: DataFrame
@@ -87,6 +88,7 @@ def run_daily(
     bars = spread_join(first_provider(delivered), asked, [SYMBOL], SEQ, "left_semi")
     bars = staged(bars.drop("priority"), "chosen")
     found = staged(rules.validate(requested, bars, raw), "issues")
+    found = staged(corrections.run_issues(bars, found), "run-issues")
     corrected = corrections.corrected_layer(rules.accepted(bars, found))
     if store is not None:
         store.save(bars, corrected, found, backup=backup)
