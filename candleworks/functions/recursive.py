@@ -59,6 +59,8 @@ def _blocked(frame, wanted, rows: int) -> DataFrame:
     part = keys(frame)
     line = timeline(frame)
     inside = so_far(Window.partitionBy(*part, "_block").orderBy("_j"))
+    # The order of rows once more, in terms that share the sort of the blocks.
+    blocks = Window.partitionBy(*part).orderBy("_block", "_j")
     local, whole = {}, {}
     for name, (x, span) in wanted.items():
         x = F.col(x) if isinstance(x, str) else x
@@ -67,7 +69,7 @@ def _blocked(frame, wanted, rows: int) -> DataFrame:
         weight = F.when((F.col("_block") == 0) & (F.col("_j") == 0), 1.0).otherwise(a)
         local[name] = F.pow(q, F.col("_j")) * F.sum(weight * x * F.pow(q, -F.col("_j"))).over(inside)
         end = F.when(F.col("_j") == rows - 1, F.col(name))
-        carry = F.last(end, ignorenulls=True).over(before(line))
+        carry = F.last(end, ignorenulls=True).over(before(blocks))
         whole[name] = F.col(name) + F.coalesce(carry * F.pow(q, F.col("_j") + 1), F.lit(0.0))
     return (
         frame.withColumn("_n", F.row_number().over(line) - 1)

@@ -181,3 +181,9 @@ def test_weekday_calendar_leaves_weekends_out(spark):
         ("2025-01-15", 1),
         ("2025-01-17", 4),
     ]
+
+
+def test_averages_sort_twice(bars):
+    rows = features.apply_features(bars, [features.ema()])
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Sort [") == 2
