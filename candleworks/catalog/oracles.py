@@ -1176,6 +1176,26 @@ SQL["fc_holidays"] = _with(
     + " FROM bars",
 )
 
+SQL["fc_holiday_table"] = _with(
+    _BARS,
+    """
+, named AS (
+  SELECT symbol, date, CASE
+    WHEN strftime(date, '%m-%d') = '01-01' THEN 'New Year''s Day'
+    WHEN strftime(date, '%m-%d') = '07-04' THEN 'Independence Day'
+    WHEN strftime(date, '%m-%d') = '11-11' THEN 'Veterans Day'
+    WHEN strftime(date, '%m-%d') = '12-25' THEN 'Christmas Day'
+    WHEN strftime(date, '%m-%d') = '06-19' AND year(date) >= 2021 THEN 'Juneteenth'
+    WHEN isodow(date) = 1 AND month(date) = 1 AND ceil(day(date) / 7) = 3 THEN 'Martin Luther King Day'
+    WHEN isodow(date) = 1 AND month(date) = 2 AND ceil(day(date) / 7) = 3 THEN 'Washington''s Birthday'
+    WHEN isodow(date) = 1 AND month(date) = 5 AND month(date + 7) = 6 THEN 'Memorial Day'
+    WHEN isodow(date) = 1 AND month(date) = 9 AND day(date) <= 7 THEN 'Labor Day'
+    WHEN isodow(date) = 1 AND month(date) = 10 AND ceil(day(date) / 7) = 2 THEN 'Columbus Day'
+    WHEN isodow(date) = 4 AND month(date) = 11 AND ceil(day(date) / 7) = 4 THEN 'Thanksgiving' END AS holiday
+  FROM bars)
+SELECT symbol, date, holiday FROM named WHERE holiday IS NOT NULL""",
+)
+
 # --- runs ------------------------------------------------------------------
 
 _STATUS = (

@@ -1020,6 +1020,16 @@ def fc_holidays(spark, sf_dir):
     return rows.select(SYMBOL, "date", *fc.holiday_columns("US"))
 
 
+@query
+def fc_holiday_table(spark, sf_dir):
+    """All US federal holidays as columns, movable ones too: rows that have one."""
+    bars = fx.bars_by_brand(spark, sf_dir).select(SYMBOL, "date")
+    names = fc.us_holiday_names()
+    rows = fc.with_holiday_table(bars, fc.us_holidays(bars), names)
+    kept = F.array_compact(F.array(*[F.when(F.col(f"`{n}`") == 1, F.lit(n)) for n in names]))
+    return rows.select(SYMBOL, "date", F.explode(kept).alias("holiday"))
+
+
 @query
 def fc_fit_with_holidays(spark, sf_dir):
     """The fit with holiday columns as regressors."""

@@ -53,6 +53,20 @@ FIXED_HOLIDAYS = {
 }
 
 
+# US holidays on a weekday of a month: month, weekday (Monday is 0), first
+# and last day of the month it can fall on.
+MOVABLE_US = {
+    "Martin Luther King Day": (1, 0, 15, 21),
+    "Washington's Birthday": (2, 0, 15, 21),
+    "Memorial Day": (5, 0, 25, 31),
+    "Labor Day": (9, 0, 1, 7),
+    "Columbus Day": (10, 0, 8, 14),
+    "Thanksgiving": (11, 3, 22, 28),
+}
+# Fixed value: first year of Juneteenth, on June 19.
+JUNETEENTH_FROM = 2021
+
+
 @dataclass(frozen=True)
 class Model:
     """What is fitted; the defaults are those of the method's reference implementation."""
@@ -94,6 +108,23 @@ def with_holidays(frame: DataFrame, country: str, date_column: str = DATETIME) -
     return frame.withColumns({name: (day == date).cast("double") for name, date in dates})
 
 
+def us_holidays(dates: DataFrame) -> DataFrame:
+    """(date, holiday): the US federal holidays among the values of a ``date`` column."""
+    d = F.col("date")
+    fixed = [F.when(F.date_format(d, "MM-dd") == day, F.lit(name)) for name, day in FIXED_HOLIDAYS["US"].items()]
+    movable = [
+        F.when((F.month(d) == m) & (F.weekday(d) == w) & F.dayofmonth(d).between(a, b), F.lit(name))
+        for name, (m, w, a, b) in MOVABLE_US.items()
+    ]
+    june = F.when((F.date_format(d, "MM-dd") == "06-19") & (F.year(d) >= JUNETEENTH_FROM), F.lit("Juneteenth"))
+    named = F.explode(F.array_compact(F.array(*fixed, *movable, june)))
+    return dates.select("date").distinct().select("date", named.alias("holiday"))
+
+
+def us_holiday_names() -> list[str]:
+    return [*FIXED_HOLIDAYS["US"], *MOVABLE_US, "Juneteenth"]
+
+
 def with_holiday_table(frame: DataFrame, holidays: DataFrame, names: Sequence[str]) -> DataFrame:
     """The same for movable holidays, from a table (date, holiday) with the given names."""
     wide = holidays.groupBy("date").pivot("holiday", list(names)).agg(F.max(F.lit(1.0)))
