@@ -35,9 +35,9 @@ VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
 #: Tokens that wait for a bin in one task at most, besides one document.
 WINDOW_TOKENS = 1 << 21
-WINDOW_ITEMS = 2_048
+WINDOW_ITEMS = 512
 #: Distinct words a task remembers the ids of.
-REMEMBERED = 600_000
+REMEMBERED = 900_000
 _WIDTH = 4  # bytes of an id
 _MARK = "\ue000"
 
