@@ -12,8 +12,8 @@ texts have equal fingerprints; repeated rows are fingerprinted each.
 
 The text that follows a document in descending order of doc_id is brought next to it by
 cutting the ids into ranges: each range is one task's, and the first document of a range
-is also sent to the range before. The whole text is shuffled once; nothing but one id per
-range reaches the driver. Rows without an id come last; rows of equal id follow by text.
+is also sent to the range before. The whole text is shuffled once; nothing but the
+bounds of the ranges reaches the driver. Rows without an id come last; rows of equal id follow by text.
 """
 
 from __future__ import annotations
@@ -25,10 +25,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from candleworks.llm.text import words
+from candleworks.session import staged
 
 SAMPLES = 64
 #: (term, weight) pairs a task remembers the samples of.
@@ -148,7 +149,7 @@ def edited(text: str, following: str) -> str:
 def with_next(documents: DataFrame, ranges: int) -> DataFrame:
     """The rows of each range in descending order of doc_id, and after them a copy of the
     row that follows (``copy`` is true), which for the last range is the first row of all."""
-    cuts = documents.agg(F.percentile_approx("doc_id", [i / ranges for i in range(1, ranges)] or [0.5], 10_000)).first()[0]
+    cuts = documents.agg(F.percentile_approx("doc_id", [i / ranges for i in range(1, ranges)] or [0.5], max(10_000, 20 * ranges))).first()[0]
     bounds = np.unique(np.array(cuts or [], np.int64))
     last = len(bounds)
 
@@ -160,18 +161,17 @@ def with_next(documents: DataFrame, ranges: int) -> DataFrame:
         return pd.Series(out)
 
     rows = documents.select("doc_id", "text").withColumn("range", place("doc_id"))
-    heads = {r[0]: r[1] for r in rows.groupBy("range").agg(F.max("doc_id")).collect()}  # one id per range
-    order = sorted(heads)
-    # The head of each range also goes to the range before; that of the first to the last.
-    to = {r: order[i - 1] for i, r in enumerate(order)}
-    if not order:
-        return rows.withColumn("copy", F.lit(False))
-    targets = F.create_map(*[F.lit(x) for pair in to.items() for x in pair])
-    firsts = F.create_map(*[F.lit(x).cast("long") if i % 2 else F.lit(x) for r, h in heads.items() for i, x in enumerate((r, h))])
-    is_head = F.col("doc_id").eqNullSafe(F.element_at(firsts, F.col("range")))
+    # One row per range: its first id, and the range before it (for the first, the last).
+    heads = staged(rows.groupBy("range").agg(F.max("doc_id").alias("head")), "heads")
+    end = F.lit(heads.agg(F.max("range")).first()[0]).cast("int")
+    before = F.coalesce(F.lag("range").over(Window.orderBy("range")), end)
+    heads = F.broadcast(heads.withColumn("before", before))  # bounded by the number of ranges
     own = F.struct(F.col("range").alias("range"), F.lit(False).alias("copy"))
-    sent = F.struct(F.element_at(targets, F.col("range")).alias("range"), F.lit(True).alias("copy"))
-    spread = rows.select("doc_id", "text", F.explode(F.when(is_head, F.array(own, sent)).otherwise(F.array(own))).alias("to"))
+    sent = F.struct(F.col("before").alias("range"), F.lit(True).alias("copy"))
+    is_head = F.col("doc_id").eqNullSafe(F.col("head"))
+    spread = rows.join(heads, "range").select(
+        "doc_id", "text", F.explode(F.when(is_head, F.array(own, sent)).otherwise(F.array(own))).alias("to")
+    )
     dealt = spread.select("doc_id", "text", "to.range", "to.copy").repartitionById(last + 1, F.col("range"))
     return dealt.sortWithinPartitions("range", "copy", F.desc_nulls_last("doc_id"), F.asc_nulls_first("text"))
 
