@@ -45,3 +45,19 @@ def components(edges: DataFrame) -> DataFrame:
             break
         before = after
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
+
+
+def least_of_class(marked: DataFrame, key, row: str) -> DataFrame:
+    """(class, best) for each value of key; best sorts the rows: smallest id, then the text's
+    hash, then the row number. Rows without an id come last."""
+    order = F.struct(
+        F.col("doc_id").isNull().alias("nameless"), "doc_id", F.xxhash64("text").alias("hash"), F.col(row).alias("row")
+    )
+    return marked.groupBy(key.alias("class")).agg(F.min(order).alias("best"))
+
+
+def one_row_per_group(marked: DataFrame, classes: DataFrame, roots: DataFrame, row: str) -> DataFrame:
+    """The rows of marked that are the best of their component. classes: node, best."""
+    rooted = classes.join(roots, "node", "left").select(F.coalesce("root", "node").alias("root"), "best")
+    best = rooted.groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.row").alias(row))
+    return marked.join(best, row, "left_semi")

@@ -41,18 +41,25 @@ SMALL = 32
 STEP = 1 << 16
 
 
-def fingerprint(text: str | None, size: int = SHINGLE) -> int:
-    """The 64-bit fingerprint, as a signed number."""
+def word_spans(text: str | None, size: int) -> tuple[bytes, np.ndarray, np.ndarray]:
+    """The words joined by spaces, and where each shingle starts and ends in them."""
     tokens = text.encode().lower().split() if text else []  # bytes: only A-Z change
     if not tokens:
-        return 0
-    joined = b" ".join(tokens)
+        return b"", np.zeros(0, np.int64), np.zeros(0, np.int64)
     ends = np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens)) + 1) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
     if len(tokens) >= size:
         starts, ends = starts[: len(tokens) - size + 1], ends[size - 1 :]
     else:
         starts, ends = starts[:1], ends[-1:]
+    return b" ".join(tokens), starts, ends
+
+
+def fingerprint(text: str | None, size: int = SHINGLE) -> int:
+    """The 64-bit fingerprint, as a signed number."""
+    joined, starts, ends = word_spans(text, size)
+    if not len(starts):
+        return 0
     digest, seed = xxhash.xxh64_intdigest, SEED
     counts = np.zeros(BITS, np.int64)
     for at in range(0, len(starts), STEP):
