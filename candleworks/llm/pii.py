@@ -198,12 +198,37 @@ _WRITERS = {
     "ip": _ip, "phone": _phone, "secret": _secret,
 }
 
+#: Lengths of the IBANs of a country; the others are tried at every length.
+_IBAN_LENGTHS = {
+    c: int(n) for n, names in (
+        ("15", "NO"), ("16", "BE"), ("18", "DK FI FO GL NL SD FK"), ("19", "MK SI"), ("20", "AT BA EE KZ LT LU XK MN"),
+        ("21", "CH CR HR LI LV"), ("22", "BG BH DE GB GE IE ME RS VA"), ("23", "AE GI IL IQ TL OM SO"),
+        ("24", "AD CZ ES MD PK RO SA SE SK TN VG"), ("25", "LY PT ST"), ("26", "IS TR"),
+        ("27", "BI DJ FR GR IT MC MR SM"), ("28", "AL AZ BY CY DO GT HU LB NI PL SV"), ("29", "BR EG PS QA UA"),
+        ("30", "JO KW MU YE"), ("31", "MT SC"), ("32", "LC"), ("33", "RU"),
+    ) for c in names.split()
+}
+
+
+def _shorter(kind: str, text: str) -> Iterator[str]:
+    """Shorter readings of a match that failed validation, longest first: a card ends with
+    one of its groups or digits, an IBAN where its country's account numbers end."""
+    known = _IBAN_LENGTHS.get(text[:2]) if kind == "iban" else None
+    least = {"card": 13, "iban": 15}.get(kind)
+    places = [i for i, c in enumerate(text) if c.isalnum()] if least else []
+    for count in range(len(places) - 1, (least or 1) - 1, -1):
+        end = places[count - 1] + 1
+        if text[end : end + 1].isalnum() or known not in (None, count):
+            continue  # a value ends before a separator
+        yield text[:end]
+
+
 _PATTERN = re.compile(
     r"""(?P<email>(?<![\w.+-])[\w.+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)
     |(?P<phone>\+\d{1,3}[ .-]?(?:\(\d{2,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\d))
     |(?<![\w.])(?:
       (?P<ip>\d{1,3}(?:\.\d{1,3}){3})(?![\w]|\.\d)
-    | (?P<date>\d{4}([-/.])\d{1,2}\5\d{1,2}|\d{1,2}([-/.])\d{1,2}\6\d{4})(?![\w]|[-/.]\d)
+    | (?P<date>\d{4}([-/.])\d{1,2}\5\d{1,2}|\d{1,2}([-/.])\d{1,2}\6\d{4})(?![^\WT]|T(?!\d{2}:?\d{2})|[-/.]\d)
     | (?P<national_id>\d{3}-\d{2}-\d{4})(?![\w-])
     | (?P<card>\d(?:[ -]?\d){12,18})(?![\w]|-\d)
     | (?P<iban>[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,4})?)(?![\w])
@@ -232,16 +257,22 @@ class Pseudonymiser:
         if not text or not _MAY_HOLD.search(text):
             return text, []
         out, found, at, length = [], [], 0, 0
-        for match in _PATTERN.finditer(text):
+        match = _PATTERN.search(text)
+        while match:
             kind = match.lastgroup
             start, end = match.span(kind)
             new = self._one(kind, match[kind])
             if new is None:
-                continue
-            out += [text[at:start], new]
-            length += start - at
-            found.append((kind, length, length + len(new)))
-            length, at = length + len(new), end
+                for part in _shorter(kind, match[kind]):
+                    new, end = self._one(kind, part), start + len(part)
+                    if new is not None:
+                        break
+            if new is not None:
+                out += [text[at:start], new]
+                length += start - at
+                found.append((kind, length, length + len(new)))
+                length, at = length + len(new), end
+            match = _PATTERN.search(text, end if new is not None else match.end())
         return ("".join([*out, text[at:]]) if found else text), found
 
 

@@ -68,3 +68,23 @@ def test_documents_keep_their_columns(documents, awkward):
     assert [r.text for r in rows[: len(awkward)]] == awkward
     assert rows[-1].text == rows[-2].text != TEXT and rows[-1].n_chars == len(rows[-1].text)
     assert pii.pseudonymised(documents([])).count() == 0
+
+
+def test_values_with_more_digits_or_words_behind_them():
+    one = pii.Pseudonymiser()
+    for text, value, kind in (
+        ("card 4111 1111 1111 1111 12/27", "4111 1111 1111 1111", "card"),
+        ("card 4111 1111 1111 1111 123 x", "4111 1111 1111 1111", "card"),
+        ("card 4111-1111-1111-1111-12", "4111-1111-1111-1111", "card"),
+        ("pay BE68 5390 0754 7034 EUR", "BE68 5390 0754 7034", "iban"),
+        ("pay DE89 3704 0044 0532 0130 00 BY 10.20.30.40", "DE89 3704 0044 0532 0130 00", "iban"),
+        ("at 2024-02-29T10:00:00Z", "2024-02-29", "date"),
+    ):
+        start, (new, found) = text.index(value), one.rewrite(text)
+        assert found[0] == (kind, start, start + len(value)) and new[start : start + len(value)] != value
+        if "10.20" not in text:
+            assert new[start + len(value) :] == text[start + len(value) :]
+        else:
+            assert [k for k, _, _ in found] == ["iban", "ip"]
+    for text in ("2024-02-29Tx", "2024-02-29T1", "4111 1111 1111 1112 12/27", "4111111111111112"):
+        assert one.rewrite(text) == (text, [])
