@@ -35,8 +35,6 @@ RATE = 0.5
 HELD_BACK = 0.2
 #: Share of rightly named held-back texts that may score under the rejection level.
 REJECT_SHARE = 0.001
-#: The rejection level never rises above this score.
-REJECT_MOST = 0.5
 UNKNOWN = "und"
 UNIT = 1 << 20
 
@@ -99,7 +97,7 @@ def train(texts: list[str], langs: list[str]) -> LanguageModel:
     right = np.sort(chances.max(1)[chances.argmax(1) == y[check]])
     level = float(right[int(len(right) * REJECT_SHARE)]) if len(right) else 0.0
     scaled = np.round(model.bucket_logits().T / temperature * UNIT).astype(np.int64)
-    return LanguageModel(languages, scaled, model.bias / temperature, min(level, REJECT_MOST))
+    return LanguageModel(languages, scaled, model.bias / temperature, level)
 
 
 def fit(documents: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id") -> LanguageModel:

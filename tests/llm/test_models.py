@@ -86,3 +86,16 @@ def test_toxicity_of_awkward_tables(documents, labels, awkward, rude):
     assert not toxicity.scored(documents(awkward), model).where("score != 0").count()
     model = toxicity.fit(documents(["a b", "c d"]), labels([(0, 1, 1), (0, 1, 1), (1, None, None)]))
     assert model.scores(["a b"]) == [0.0]
+
+
+def test_rejection_level_is_the_calibrated_one():
+    """Two languages: the larger chance is never below a half, and yet foreign text is rejected."""
+    rng = np.random.default_rng(3)
+    words = {"en": "the house and tree with water bird".split(), "fr": "le maison et un arbre avec oiseau".split()}
+    langs = ["en", "fr"] * 200
+    model = langid.train([" ".join(rng.choice(words[v], 30)) for v in langs], langs)
+    assert model.reject_below > 0.5
+    foreign = ["the house and tree with water bird le maison et un arbre avec oiseau", "qzxj vkpg wqxz jjkq"]
+    assert model.predict(foreign).rejected.all()
+    clean = [" ".join(rng.choice(words[v], 30)) for v in langs]
+    assert model.predict(clean).rejected.mean() < 0.05
