@@ -24,10 +24,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candleworks.llm.components import components
+from candleworks.llm.components import components, least_of_class, one_row_per_group
 from candleworks.llm.text import spare_name
 from candleworks.session import staged
 
@@ -142,15 +142,20 @@ def groups(documents: DataFrame, size: int = SHINGLE, radius: int = RADIUS) -> D
 
 
 def deduplicated(documents: DataFrame, size: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """The document with the smallest id of each group, with all its columns.
+    """One row of each group, with all its columns.
 
-    Of repeated rows of that id one stays; rows without an id stay when no row with an id
-    is near them.
+    It is the row with the smallest id; rows without an id come last, and of rows that
+    repeat an id the one with the smallest hash of its text stays.
     """
-    found = groups(documents, size, radius)
-    losers = found.where("doc_id is not null and doc_id != component_id").select("doc_id").distinct()
-    kept = documents.join(losers, "doc_id", "left_anti")
-    place = spare_name(documents, "place")
-    order = Window.partitionBy("doc_id").orderBy("text")
-    numbered = kept.withColumn(place, F.row_number().over(order))
-    return numbered.where((F.col(place) == 1) | F.col("doc_id").isNull()).select(*documents.columns)
+    near, row = spare_name(documents, "near"), spare_name(documents, "row")
+
+    @F.pandas_udf("long")
+    def mark(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in texts:
+            yield pd.Series([fingerprint(t, size) for t in batch], dtype="int64")
+
+    marked = documents.withColumn(near, mark("text")).withColumn(row, F.monotonically_increasing_id())
+    marked = staged(marked, "fingerprints")
+    classes = staged(least_of_class(marked, F.col(near), row), "classes")
+    roots = components(links(classes.select(F.col("class").alias("fp")), radius))
+    return one_row_per_group(marked, classes.withColumnRenamed("class", "node"), roots, row).select(*documents.columns)

@@ -3,7 +3,7 @@ from itertools import combinations
 
 import xxhash
 
-from candleworks.llm import simhash
+from candleworks.llm import near_copies, simhash
 from candleworks.llm.components import components
 
 
@@ -92,3 +92,13 @@ def test_one_document_of_each_group_stays(documents, awkward):
     assert simhash.deduplicated(documents([])).count() == 0
     assert simhash.groups(documents(awkward)).count() == len(awkward)
     assert simhash.deduplicated(documents([(None, "a b c d"), (None, "e f g")])).count() == 2
+
+
+def test_one_row_of_each_group_stays_without_ids(documents):
+    """Both ways of grouping: copies without ids, and an id that two texts share."""
+    text, far = " ".join(f"w{i}" for i in range(400)), " ".join(f"v{i}" for i in range(400))
+    for deduplicated in (simhash.deduplicated, near_copies.deduplicated):
+        kept = deduplicated(documents([(None, text), (None, text), (None, far), (8, far), (None, "a b c d")])).collect()
+        assert sorted(((r.doc_id, r.text) for r in kept), key=str) == [(8, far), (None, "a b c d"), (None, text)]
+        both = deduplicated(documents([(1, text), (2, text), (2, far)])).collect()
+        assert sorted((r.doc_id, r.text) for r in both) == [(1, text), (2, far)]
