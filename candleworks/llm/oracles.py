@@ -97,3 +97,76 @@ SELECT page_id, host, path, rule,
     coalesce(trust, 0) AS trust, coalesce(distrust, 0) AS distrust
 FROM judged LEFT JOIN hosts USING (host)
 """
+
+
+_LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+_TERMS = f"""regexp_extract_all(translate(text, {_LETTERS}), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"""
+
+SQL["op13_reversed_search"] = f"""
+WITH terms AS (SELECT doc_id, unnest({_TERMS}) AS term FROM documents),
+held AS (SELECT doc_id, term, count(*) AS tf FROM terms GROUP BY ALL),
+sizes AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM held GROUP BY doc_id),
+whole AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS l FROM sizes),
+weights AS (
+    SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+    FROM held, whole GROUP BY term),
+wanted AS (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark),
+scored AS (
+    SELECT item_id, doc_id,
+        CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // l)))) AS BIGINT) AS score
+    FROM wanted JOIN weights USING (term) JOIN held USING (term) JOIN sizes USING (doc_id), whole
+    GROUP BY item_id, doc_id),
+ranked AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank
+    FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
+#: CRC-32 of the bytes of a string, from a table of 256 remainders (3988292384 is its polynomial).
+_CRC_TABLE = """
+remainders AS (
+    SELECT list(list_reduce(list_prepend(i, range(8)),
+        lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+    FROM range(256) AS r(i))"""
+
+
+def _crc32(string: str) -> str:
+    digits = f"hex({string})"
+    as_bytes = f"list_transform(range(length({digits}) // 2), lambda k: CAST('0x' || substr({digits}, CAST(2 * k + 1 AS BIGINT), 2) AS BIGINT))"
+    return (
+        f"xor(list_reduce(list_prepend(4294967295::BIGINT, {as_bytes}), "
+        "lambda c, b: xor(c >> 8, t[xor(c, b) % 256 + 1])), 4294967295)"
+    )
+
+
+SQL["op12_letter_trees"] = f"""
+WITH RECURSIVE {_CRC_TABLE},
+every AS (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, {_LETTERS}), '[A-Za-z\u00C0-\u00FF]+')) AS run FROM documents),
+runs AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS doc, run, count(*) AS n FROM every WHERE length(run) >= 6 GROUP BY ALL),
+keyed AS (SELECT run, n, {_crc32("doc || ':' || run")} AS h FROM runs, remainders),
+spelled AS (
+    SELECT n, CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word
+    FROM keyed),
+words AS (
+    SELECT word, CAST(sum(n) AS BIGINT) AS n FROM spelled WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+shorter AS (
+    SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest
+    FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)),
+near AS (
+    SELECT a.word, b.word AS other, b.n AS m FROM shorter a JOIN shorter b ON a.rest = b.rest AND a.i = b.i AND a.word != b.word
+    UNION SELECT a.word, b.word, b.n FROM shorter a JOIN words b ON a.rest = b.word
+    UNION SELECT b.word, a.word, a.n FROM shorter a JOIN words b ON a.rest = b.word),
+best AS (
+    SELECT word, count(*) AS n_near, min(row(-m, other)) AS b FROM near GROUP BY word),
+formed AS (
+    SELECT words.word, n, coalesce(n_near, 0) AS n_near,
+        CASE WHEN -b[1] >= 5 * n THEN b[2] END AS form, CASE WHEN -b[1] >= 5 * n THEN -b[1] END AS form_n
+    FROM words LEFT JOIN best USING (word)),
+walk AS (
+    SELECT word, word AS place FROM formed
+    UNION ALL SELECT walk.word, form FROM walk JOIN formed ON walk.place = formed.word WHERE form IS NOT NULL),
+ends AS (SELECT walk.word, place AS root FROM walk JOIN formed ON place = formed.word WHERE form IS NULL)
+SELECT word, n, n_near, form, form_n, root FROM formed JOIN ends USING (word)
+"""

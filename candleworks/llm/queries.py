@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators: name -> f(spark, sf_dir) -> DataFrame.
+"""The registered queries of the operators: name -> f(spark, sf_dir) -> DataFrame.
 
 Each applies its operator with production parameters to its whole table and derives the
 columns of its contract from what the operator returns.
@@ -9,7 +9,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candleworks.llm import chat, langid, packing, pii, piece_bpe, quality, simhash, toxicity, url_filter, weighted_sampling
+from candleworks.llm import (
+    chat,
+    katz,
+    langid,
+    letter_trees,
+    packing,
+    piece_bpe,
+    pii,
+    quality,
+    reversed_search,
+    simhash,
+    toxicity,
+    url_filter,
+    weighted_sampling,
+)
 from candleworks.llm.text import table
 
 QUERIES: dict = {}
@@ -86,3 +100,20 @@ def op10_packing_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
+
+
+@query
+def op11_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 2, F.lit(False))
+    found = katz.scored(table(spark, sf_dir, "documents"), ~held_out)
+    return found.withColumn("held_out", ~F.col("learnt")).drop("learnt")
+
+
+@query
+def op12_letter_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return letter_trees.grouped(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_reversed_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reversed_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
