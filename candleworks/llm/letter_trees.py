@@ -79,7 +79,8 @@ def word_counts(documents: DataFrame) -> DataFrame:
                 if len(held) >= COUNTED:
                     yield pd.DataFrame({"word": list(held), "n": list(held.values())})
                     held = Counter()
-        yield pd.DataFrame({"word": list(held), "n": list(held.values())})
+        if held:
+            yield pd.DataFrame({"word": list(held), "n": list(held.values())})
 
     rows = documents.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
     return rows.mapInPandas(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
@@ -189,9 +190,10 @@ class _Found:
             if self.best[row] is None or key < self.best[row]:
                 self.best[row] = key
 
-    def frame(self) -> pd.DataFrame:
+    def frames(self) -> Iterator[pd.DataFrame]:
         rows = [(w, k, -b[0], b[1]) for w, k, b in zip(self.words, self.near.tolist(), self.best) if b]
-        return pd.DataFrame(rows, columns=["word", "near", "best_n", "best"])
+        if rows:
+            yield pd.DataFrame(rows, columns=["word", "near", "best_n", "best"])
 
 
 class Cell:
@@ -216,7 +218,7 @@ class Cell:
                     sent.add(a[near], self.found, b[near])
                     if not same:
                         self.found.add(b[near], sent, a[near])
-            yield sent.frame()
+            yield from sent.frames()
 
 
 def _plan(words: DataFrame) -> dict[int, Tree]:
@@ -279,7 +281,7 @@ def _search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     cell, waiting = opened(), []
                     yield from cell.meet(cell.found.words, cell.found.n)
                 if cell is not None:
-                    yield cell.found.frame()
+                    yield from cell.found.frames()
                 current, cell = key[:2], None
             if key[2] == 0:
                 waiting.append(part)
@@ -293,7 +295,7 @@ def _search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cell = opened()
         yield from cell.meet(cell.found.words, cell.found.n)
     if cell is not None:
-        yield cell.found.frame()
+        yield from cell.found.frames()
 
 
 def near_words(words: DataFrame) -> DataFrame:

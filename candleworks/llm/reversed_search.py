@@ -194,7 +194,8 @@ def _best(documents: DataFrame, index: Index, top: int, kind: str) -> DataFrame:
                     heaps.offer(docs[at : at + most], scores(counts[at : at + most], index, stats, weights))
         part = TaskContext.get().partitionId()
         rows = [(item, index.ids[item], part, doc, score) for item, doc, score in heaps.rows()]
-        yield pd.DataFrame(rows, columns=columns)
+        if rows:
+            yield pd.DataFrame(rows, columns=columns)
 
     doc_kind = documents.schema["doc_id"].dataType.simpleString()
     return documents.select("doc_id", "text").mapInPandas(
