@@ -40,7 +40,7 @@ def rows(frame):
 
 
 def items_of(spark, rows):
-    return spark.createDataFrame(rows, "item_id long, text string, score string")
+    return spark.createDataFrame([(*r, "x") for r in rows], "item_id long, text string, score string")
 
 
 def test_same_as_sql(spark):
