@@ -39,11 +39,12 @@ from itertools import chain
 import numpy as np
 import pandas as pd
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candleworks.session import fresh_folder
+from candleworks.session import drop_folder, fresh_folder
 
 ORDER = 2
 #: Larger counts are not Good-Turing discounted.
@@ -66,13 +67,17 @@ def _joined(history: np.ndarray, word: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def _planes(values: np.ndarray) -> bytes:
-    """64-bit values with like bytes side by side, which compress well."""
-    return values.view(np.uint8).reshape(-1, 8).T.tobytes()
+def _packed(values: np.ndarray) -> bytes:
+    """Numbers with like bytes side by side, compressed: sorted keys and small counts shrink."""
+    planes = values.view(np.uint8).reshape(-1, values.itemsize).T
+    return zstandard.compress(planes.tobytes(), 1) if len(values) else b""
 
 
-def _values(planes: bytes, kind=np.uint64) -> np.ndarray:
-    return np.frombuffer(planes, np.uint8).reshape(8, -1).T.copy().view(kind).ravel()
+def _unpacked(block: bytes, kind=np.uint64) -> np.ndarray:
+    if not block:
+        return np.zeros(0, kind)
+    planes = np.frombuffer(zstandard.decompress(block), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return planes.T.copy().view(kind).ravel()
 
 
 @dataclass
@@ -196,7 +201,7 @@ def _slices(documents: DataFrame, learn: Column, path: str) -> DataFrame:
 
         def closed() -> pd.DataFrame:
             part = Slice.of(held, learnt)
-            row = (number, ids, learnt, part.sizes, part.words.tobytes(), part.codes.tobytes())
+            row = (number, ids, learnt, part.sizes, _packed(part.words), _packed(part.codes))
             return pd.DataFrame([row], columns=["slice", "ids", "learnt", "sizes", "words", "codes"])
 
         for batch in batches:
@@ -214,13 +219,13 @@ def _slices(documents: DataFrame, learn: Column, path: str) -> DataFrame:
     kind = documents.schema["doc_id"].dataType.simpleString()
     rows = documents.select("doc_id", "text", F.coalesce(learn, F.lit(True)).alias("learn"))
     schema = f"slice long, ids array<{kind}>, learnt array<boolean>, sizes array<long>, words binary, codes binary"
-    rows.mapInPandas(run, schema).write.option("compression", "zstd").parquet(path)
+    rows.mapInPandas(run, schema).write.parquet(path)
     return documents.sparkSession.read.parquet(path)
 
 
 def _read(row) -> Slice:
     return Slice(
-        np.frombuffer(row.words, np.uint64), np.frombuffer(row.codes, np.uint32), np.array(row.sizes), np.array(row.learnt, bool)
+        _unpacked(row.words), _unpacked(row.codes, np.uint32), np.array(row.sizes), np.array(row.learnt, bool)
     )
 
 
@@ -236,34 +241,34 @@ def _counted(slices: DataFrame, order: int, parts: int, path: str) -> DataFrame:
                     skip = 1 if k == 1 else 0  # BEGIN is no word
                     keys, learnt = g.keys[skip:], g.learnt[skip:]
                     rows = [
-                        (p, row.slice, k, _planes(keys[at]), _planes(learnt[at])) for p, at in _by_part(keys, parts)
+                        (p, row.slice, k, _packed(keys[at]), _packed(learnt[at])) for p, at in _by_part(keys, parts)
                     ]
                     yield pd.DataFrame(rows, columns=["part", "slice", "n", "keys", "learnt"])
 
     def add(blocks: pd.DataFrame) -> pd.DataFrame:
         out = []
         for k, own in blocks.sort_values(["n", "slice"]).groupby("n"):
-            held = [_values(b) for b in own["keys"]]
+            held = [_unpacked(b) for b in own["keys"]]
             keys, first, inverse = np.unique(np.concatenate(held), return_index=True, return_inverse=True)
-            learnt = np.concatenate([_values(b, np.int64) for b in own["learnt"]])
+            learnt = np.concatenate([_unpacked(b, np.int64) for b in own["learnt"]])
             totals = np.zeros(len(keys), np.int64)
             np.add.at(totals, inverse, learnt)
             answers = 2 * totals[inverse]
             answers[first] += 1
             ends = np.cumsum([len(h) for h in held])
             for slice_, end, h in zip(own["slice"], ends, held):
-                out.append((blocks["part"].iloc[0], slice_, k, None, _planes(answers[end - len(h) : end]), None))
+                out.append((blocks["part"].iloc[0], slice_, k, None, _packed(answers[end - len(h) : end]), None))
             seen = totals > 0
             spectrum = np.bincount(np.minimum(totals[seen], RELIABLE + 2), minlength=RELIABLE + 3).tolist()
             sums = [*spectrum, int(totals.sum()), int(totals[keys == _END].sum())]
-            out.append((blocks["part"].iloc[0], None, k, _planes(keys[seen]), _planes(totals[seen]), sums))
+            out.append((blocks["part"].iloc[0], None, k, _packed(keys[seen]), _packed(totals[seen]), sums))
         return pd.DataFrame(out, columns=["part", "slice", "n", "keys", "counts", "sums"])
 
     sent = slices.select("slice", "ids", "learnt", "sizes", "words", "codes").mapInPandas(
         send, "part int, slice long, n int, keys binary, learnt binary"
     )
     added = sent.groupBy("part").applyInPandas(add, "part int, slice long, n int, keys binary, counts binary, sums array<long>")
-    added.write.option("compression", "zstd").parquet(path)
+    added.write.parquet(path)
     return slices.sparkSession.read.parquet(path)
 
 
@@ -287,7 +292,7 @@ def _measure(row, answers: pd.DataFrame, order: int, parts: int, totals: Totals)
     for k, g in enumerate(found, 1):
         skip = 1 if k == 1 else 0
         own = answers.loc[answers["n"] == k, "counts"]
-        given = np.concatenate([_values(b, np.int64) for b in own]) if len(own) else np.zeros(0, np.int64)
+        given = np.concatenate([_unpacked(b, np.int64) for b in own]) if len(own) else np.zeros(0, np.int64)
         told = np.zeros(len(g.keys), np.int64)
         told[skip + np.argsort(g.keys[skip:], kind="stable")] = given
         counts.append(told >> 1)
@@ -328,14 +333,14 @@ def _measure(row, answers: pd.DataFrame, order: int, parts: int, totals: Totals)
         c = counts[k - 1][own]
         left = np.bincount(inverse, c - totals.discounts[k - 1].kept(c), minlength=len(histories))
         covered = np.bincount(inverse, direct[k - 2][g.shorter[own]], minlength=len(histories))
-        asks = {p: _planes(found[k - 2].keys[asked][at]) for p, at in _by_part(found[k - 2].keys[asked], parts)}
+        asks = {p: _packed(found[k - 2].keys[asked][at]) for p, at in _by_part(found[k - 2].keys[asked], parts)}
         sums = dict(_by_part(found[k - 2].keys[histories], parts))
         none = np.zeros(0, np.int64)
         for p in sorted(asks.keys() | sums.keys()):
             at = sums.get(p, none)
             keys = found[k - 2].keys[histories][at]
-            out.append({"slice": row.slice, "n": k, "part": p, "keys": _planes(keys), "left": _planes(left[at]),
-                        "covered": _planes(covered[at]), "asks": asks.get(p, b"")})
+            out.append({"slice": row.slice, "n": k, "part": p, "keys": _packed(keys), "left": _packed(left[at]),
+                        "covered": _packed(covered[at]), "asks": asks.get(p, b"")})
 
     size = len(row.ids)
     words = counts[0][found[0].of[is_token]]
@@ -345,7 +350,7 @@ def _measure(row, answers: pd.DataFrame, order: int, parts: int, totals: Totals)
         "slice": row.slice, "ids": row.ids, "learnt": row.learnt, "n_tokens": np.bincount(own, minlength=size),
         "n_known": np.bincount(own, words > 0, minlength=size).astype(np.int64),
         "base": np.bincount(own, base, minlength=size), "log": np.bincount(document, log, minlength=size),
-        "pending": [(k, d.astype(np.uint32).tobytes(), a.astype(np.uint32).tobytes()) for k, d, a in pending],
+        "pending": [(k, _packed(d.astype(np.uint32)), _packed(a.astype(np.uint32))) for k, d, a in pending],
     })
     return pd.DataFrame([[o.get(c) for c in _MEASURED] for o in out], columns=_MEASURED)
 
@@ -367,7 +372,7 @@ def _measured(slices: DataFrame, counted: DataFrame, order: int, parts: int, tot
     )
     answers = counted.where("slice is not null").select("slice", "n", "part", "counts")
     both = slices.groupBy("slice").cogroup(answers.groupBy("slice")).applyInPandas(run, schema)
-    both.write.option("compression", "zstd").parquet(path)
+    both.write.parquet(path)
     return slices.sparkSession.read.parquet(path)
 
 
@@ -378,20 +383,20 @@ def _histories(measured: DataFrame, path: str) -> DataFrame:
     def add(blocks: pd.DataFrame) -> pd.DataFrame:
         out, part = [], blocks["part"].iloc[0]
         for k, own in blocks.sort_values(["n", "slice"]).groupby("n"):
-            keys, inverse = np.unique(np.concatenate([_values(b) for b in own["keys"]]), return_inverse=True)
+            keys, inverse = np.unique(np.concatenate([_unpacked(b) for b in own["keys"]]), return_inverse=True)
             left, covered = np.zeros(len(keys)), np.zeros(len(keys))
-            np.add.at(left, inverse, np.concatenate([_values(b, float) for b in own["left"]]))
-            np.add.at(covered, inverse, np.concatenate([_values(b, float) for b in own["covered"]]))
+            np.add.at(left, inverse, np.concatenate([_unpacked(b, float) for b in own["left"]]))
+            np.add.at(covered, inverse, np.concatenate([_unpacked(b, float) for b in own["covered"]]))
             weight = left / np.maximum(1 - covered, 1e-15)
             for slice_, asks in zip(own["slice"], own["asks"]):
                 if asks:
-                    out.append((part, slice_, k, None, _planes(weight[np.searchsorted(keys, _values(asks))])))
-            out.append((part, None, k, _planes(keys), _planes(weight)))
+                    out.append((part, slice_, k, None, _packed(weight[np.searchsorted(keys, _unpacked(asks))])))
+            out.append((part, None, k, _packed(keys), _packed(weight)))
         return pd.DataFrame(out, columns=["part", "slice", "n", "keys", "weights"])
 
     sent = measured.where("part is not null").select("part", "slice", "n", "keys", "left", "covered", "asks")
     added = sent.groupBy("part").applyInPandas(add, "part int, slice long, n int, keys binary, weights binary")
-    added.write.option("compression", "zstd").parquet(path)
+    added.write.parquet(path)
     return measured.sparkSession.read.parquet(path)
 
 
@@ -409,6 +414,7 @@ def scored(documents: DataFrame, learn: Column, order: int = ORDER) -> DataFrame
     counted = _counted(slices, order, parts, f"{root}/ngrams")
     totals = _totals(counted, order)
     measured = _measured(slices, counted, order, parts, totals, f"{root}/measured")
+    drop_folder(spark, f"{root}/slices")
     answers = _histories(measured, f"{root}/histories").where("slice is not null").select("slice", "n", "part", "weights")
 
     def run(own: pd.DataFrame, weights: pd.DataFrame) -> pd.DataFrame:
@@ -417,8 +423,8 @@ def scored(documents: DataFrame, learn: Column, order: int = ORDER) -> DataFrame
         for waiting in row.pending:
             told = weights.loc[weights["n"] == waiting["n"], "weights"]
             if len(told):
-                given = np.log10(np.concatenate([_values(b, float) for b in told]))
-                ask, document = (np.frombuffer(waiting[c], np.uint32) for c in ("ask", "document"))
+                given = np.log10(np.concatenate([_unpacked(b, float) for b in told]))
+                ask, document = (_unpacked(waiting[c], np.uint32) for c in ("ask", "document"))
                 score += np.bincount(document, given[ask], minlength=len(score))
         return pd.DataFrame(
             {"doc_id": row.ids, "learnt": row.learnt, "n_tokens": row.n_tokens, "n_known": row.n_known,
