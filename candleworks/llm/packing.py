@@ -19,6 +19,7 @@ empty table gives no pieces.
 from __future__ import annotations
 
 import os
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -36,10 +37,14 @@ END_ID = 2
 #: Tokens that wait for a bin in one task at most, besides one document.
 WINDOW_TOKENS = 1 << 21
 WINDOW_ITEMS = 512
-#: Distinct words a task remembers the ids of.
-REMEMBERED = 900_000
+#: Bytes that remembered words and their ids may take in a worker, in each of two generations.
+REMEMBERED = 64_000_000
+# How byte-level tokenizers write bytes: those without a shape of their own follow U+00FF.
+_SHAPED = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_VISIBLE = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _SHAPED)}
+_ENTRY = 240  # bytes that a remembered word takes besides its letters and ids
+_ENDS = b"!#$%&()*+,-./:;<=>?@[]^_{|}~"
 _WIDTH = 4  # bytes of an id
-_MARK = "\ue000"
 
 
 @dataclass(frozen=True)
@@ -49,13 +54,39 @@ class Limits:
     loss_tokens: int = 4096
 
 
+class _Known(dict):
+    """Ids by word. A word that is missing moves over from the older generation, or is encoded."""
+
+    def __init__(self, tokenizer, older: dict[bytes, bytes]):
+        super().__init__()
+        self.tokenizer, self.merged, self.older, self.size = tokenizer, tokenizer.model.tokenize, older, 0
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.older.pop(word, None) or self._encoded(word)
+        self[word] = ids
+        self.size += len(word) + len(ids) + _ENTRY
+        return ids
+
+    def _encoded(self, word: bytes) -> bytes:
+        stem = word if b"<|" in word else word.rstrip(_ENDS)
+        if len(stem) < len(word) and stem[-1:].isalpha():
+            return self[stem] + self[word[len(stem) :]]
+        text = word.decode()
+        if text.isalpha() and max(text) < "\u0100":
+            text = text.lower()
+            text = text if text.isascii() else text.encode().decode("latin-1").translate(_VISIBLE)
+            return array("I", [t.id for t in self.merged(text)]).tobytes()
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
 class WordIds:
     """Ids of a text as little-endian bytes, exactly those of the tokenizer.
 
     No token spans white space, and normalisation (NFC, lower case) does not reach across
-    it, so words are encoded apart and remembered. A full stop or comma after a letter
-    starts a token of its own. New words are encoded together, with a private-use
-    character between them, which no other word may hold.
+    it, so words are encoded apart and remembered. Signs after a letter at a word's end start
+    a token of their own. Letters up to U+00FF need no normalisation but lower case and are
+    one piece, which goes to the merges at once. When the younger of two generations has
+    taken its share of memory, the older one is forgotten.
     """
 
     def __init__(self, path: str):
@@ -63,44 +94,16 @@ class WordIds:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are parallel already
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
-        self.mark = self._alone(_MARK)
-
-    def _alone(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _learn(self, words: set[bytes]) -> None:
-        known = self.known
-        stems = {w: w[:-1] for w in words if w[-1:] in b".," and w[-2:-1].isalpha()}
-        plain = {stems.get(w, w) for w in words} | {b".", b","}
-        new, odd = [], []
-        for word in (w.decode() for w in plain if w not in known):
-            (odd if _MARK in word or "<|" in word else new).append(word)
-        for word in odd:
-            known[word.encode()] = self._alone(word)
-        if new:
-            found = np.array(self.tokenizer.encode(f" {_MARK} ".join(new), add_special_tokens=False).ids, "<u4")
-            mark = np.frombuffer(self.mark, "<u4")
-            hits = np.ones(max(0, len(found) - len(mark) + 1), bool)
-            for k, v in enumerate(mark):
-                hits &= found[k : k + len(hits)] == v
-            at = np.flatnonzero(hits)
-            starts, ends = [0, *(at + len(mark)).tolist()], [*at.tolist(), len(found)]
-            for word, s, e in zip(new, starts, ends, strict=True):
-                known[word.encode()] = found[s:e].tobytes()
-        for word, stem in stems.items():
-            known[word] = known[stem] + known[word[-1:]]
+        self.known = _Known(self.tokenizer, {})
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        parts = [_words(t) if t else () for t in texts]
-        known = self.known
-        new = {w for p in parts for w in p if w not in known}
-        if new:
-            if len(known) > REMEMBERED:
-                known.clear()
-                new = {w for p in parts for w in p}
-            self._learn(new)
-        return [b"".join([known[w] for w in p]) for p in parts]
+        out = []
+        for text in texts:
+            if self.known.size > REMEMBERED:
+                self.known.older.clear()
+                self.known = _Known(self.tokenizer, self.known)
+            out.append(b"".join(map(self.known.__getitem__, _words(text))) if text else b"")
+        return out
 
 
 @lru_cache(maxsize=2)
