@@ -32,8 +32,8 @@ from candleworks.llm.text import words
 from candleworks.session import staged
 
 SAMPLES = 64
-#: (term, weight) pairs a task remembers the samples of.
-REMEMBERED = 200_000
+#: (term, weight) pairs whose samples are remembered, in each of two generations.
+REMEMBERED = 1 << 16
 #: Pairs drawn at once.
 STEP = 2_048
 
@@ -68,44 +68,48 @@ def draw(terms: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 class Sampler:
-    """Fingerprints as arrays of 16-bit samples; what was drawn for a pair is kept."""
+    """Fingerprints as arrays of 16-bit samples.
+
+    What was drawn for a pair is kept in a table of fixed size with two generations. When the
+    younger one is full, the older one is forgotten and filled anew; pairs that are met again
+    move to the younger one, so frequent words stay.
+    """
 
     def __init__(self) -> None:
-        self._forget()
-
-    def _forget(self) -> None:
-        self.row: dict[tuple[bytes, int], int] = {}
-        self.values = np.empty((0, SAMPLES), np.float32)
-        self.marks = np.empty((0, SAMPLES), np.uint16)
-
-    def _learn(self, pairs: list[tuple[bytes, int]]) -> None:
-        size = len(self.row)
-        need = size + len(pairs)
-        if need > len(self.values):
-            room = max(need, 2 * len(self.values), 4_096)
-            self.values = np.concatenate([self.values[:size], np.empty((room - size, SAMPLES), np.float32)])
-            self.marks = np.concatenate([self.marks[:size], np.empty((room - size, SAMPLES), np.uint16)])
-        for at in range(0, len(pairs), STEP):
-            part = pairs[at : at + STEP]
-            terms = np.array([xxhash.xxh64_intdigest(w) for w, _ in part], np.uint64)
-            found = draw(terms, np.array([n for _, n in part], np.float64))
-            self.values[size + at : size + at + len(part)], self.marks[size + at : size + at + len(part)] = found
-        self.row.update(zip(pairs, range(size, need)))
+        self.values = np.empty((2 * REMEMBERED, SAMPLES), np.float32)
+        self.marks = np.empty((2 * REMEMBERED, SAMPLES), np.uint16)
+        self.known: list[dict[tuple[bytes, int], int]] = [{}, {}]
+        self.young = 0
+
+    def _rows(self, pairs: list[tuple[bytes, int]]) -> np.ndarray:
+        """Where the table holds the samples of at most STEP pairs."""
+        if len(self.known[self.young]) + len(pairs) > REMEMBERED:
+            self.young ^= 1
+            self.known[self.young] = {}
+        row, old = self.known[self.young], self.known[self.young ^ 1]
+        met = [p for p in pairs if p not in row and p in old]
+        new = [p for p in pairs if p not in row and p not in old]
+        for some in (met, new):
+            at = self.young * REMEMBERED + len(row)
+            if some is met and some:
+                before = [old[p] for p in some]
+                found = self.values[before], self.marks[before]
+            elif some:
+                terms = np.array([xxhash.xxh64_intdigest(w) for w, _ in some], np.uint64)
+                found = draw(terms, np.array([n for _, n in some], np.float64))
+            else:
+                continue
+            self.values[at : at + len(some)], self.marks[at : at + len(some)] = found
+            row.update(zip(some, range(at, at + len(some))))
+        return np.fromiter(map(row.__getitem__, pairs), np.int64, len(pairs))
 
     def sample(self, text: str | None) -> np.ndarray:
         pairs = list(Counter(words(text)).items())
         if not pairs:
             return np.zeros(0, np.uint16)
-        if len(self.row) > REMEMBERED:
-            self._forget()
-        row = self.row
-        new = [p for p in pairs if p not in row]
-        if new:
-            self._learn(new)
-        rows = np.fromiter(map(row.__getitem__, pairs), np.int64, len(pairs))
-        best, mark = None, None
-        for at in range(0, len(rows), STEP):  # bounds the memory of very long texts
-            part = rows[at : at + STEP]
+        best, mark, step = None, None, min(STEP, REMEMBERED)
+        for at in range(0, len(pairs), step):  # bounds the memory of very long texts
+            part = self._rows(pairs[at : at + step])
             values = self.values[part]
             least = values.argmin(0)
             v, m = values[least, np.arange(SAMPLES)], self.marks[part[least], np.arange(SAMPLES)]
