@@ -22,6 +22,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -94,14 +95,20 @@ def sketcher() -> Callable:
 def _near(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The (a, b) of pairs whose texts are at least SIMILARITY alike. texts: node, text."""
 
-    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, right = None, None  # pairs come sorted by b
         for batch in batches:
-            near = [similarity(shingles(s), shingles(t)) >= SIMILARITY for s, t in zip(batch["s"], batch["t"])]
-            yield batch.loc[np.array(near, bool), ["a", "b"]]
+            near = np.zeros(len(batch), bool)
+            nodes, s, t = batch.column("b").to_pylist(), batch.column("s"), batch.column("t")
+            for i, b in enumerate(nodes):  # one text at a time leaves Arrow's memory
+                if b != last:
+                    last, right = b, shingles(t[i].as_py())
+                near[i] = similarity(shingles(s[i].as_py()), right) >= SIMILARITY
+            yield batch.select(["a", "b"]).filter(pa.array(near))
 
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("s"))
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("t"))
-    return pairs.join(left, "a").join(right, "b").mapInPandas(compare, "a long, b long")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "s", "t").mapInArrow(compare, "a long, b long")
 
 
 def links(sketches: DataFrame, texts: DataFrame) -> DataFrame:
