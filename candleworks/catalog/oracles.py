@@ -1153,6 +1153,97 @@ SQL["fc_evaluate_line"] = _with(
   FROM bars JOIN line USING (symbol) WHERE date > DATE '2000-12-31')
 SELECT symbol, round(sqrt(avg(e ** 2)), 4) AS rmse, round(avg(abs(e)), 4) AS mae FROM scored GROUP BY symbol""",
 )
+_BEND = """,
+placed AS (
+  SELECT symbol, date, close AS y,
+         date_diff('day', min(date) OVER w, date) / date_diff('day', min(date) OVER w, max(date) OVER w) AS t
+  FROM bars WINDOW w AS (PARTITION BY symbol)),
+centred AS (
+  SELECT symbol, date, y, t, greatest(t - 0.5, 0) AS k, t - avg(t) OVER w AS dt, y - avg(y) OVER w AS dy,
+         greatest(t - 0.5, 0) - avg(greatest(t - 0.5, 0)) OVER w AS dk
+  FROM placed WINDOW w AS (PARTITION BY symbol)),
+moments AS (
+  SELECT symbol, count(*) AS n, min(date) AS a, max(date) AS b, CAST(date_diff('day', min(date), max(date)) AS DOUBLE) AS days,
+         avg(y) AS my, avg(t) AS mt, avg(k) AS mk, max(abs(y)) AS scale,
+         sum(dt * dt) AS tt, sum(dk * dk) AS kk, sum(dt * dk) AS tk, sum(dt * dy) AS ty, sum(dk * dy) AS ky, sum(dy * dy) AS yy
+  FROM centred GROUP BY symbol),
+solved AS (
+  SELECT *, (ty * kk - ky * tk) / (tt * kk - tk * tk) AS slope, (ky * tt - ty * tk) / (tt * kk - tk * tk) AS bend FROM moments),
+bent AS (
+  SELECT *, my - slope * mt - bend * mk AS level, sqrt((yy - slope * ty - bend * ky) / n) AS sigma FROM solved)"""
+
+SQL["fc_fit_bend"] = _with(
+    _BARS + _BEND,
+    """
+SELECT symbol, round(level, 4) AS start_level, round(slope, 4) AS change, round(bend, 4) AS bend, round(sigma, 4) AS deviation
+FROM bent""",
+)
+# Changes come at the rate 1 / 0.5 with |bend| as their scale.
+SQL["fc_predict_bend"] = _with(
+    _BARS + _BEND,
+    """
+, ahead AS (
+  SELECT symbol, b + CAST(i AS INTEGER) AS date, level + slope * (1 + i / days) + bend * (0.5 + i / days) AS p,
+         1.2816 * sqrt(sigma ** 2 + 2 / 3 * (1 / 0.5) * bend ** 2 * (i / days) ** 3) AS reach
+  FROM bent, unnest(generate_series(1, 400)) AS g(i))
+SELECT symbol, date, round(p, 3) AS predicted_price, round(p - reach, 3) AS lower_bound, round(p + reach, 3) AS upper_bound
+FROM ahead""",
+)
+SQL["fc_changepoints_bend"] = _with(
+    _BARS + _BEND,
+    """
+SELECT symbol, 1 AS rank, a + CAST(floor(0.5 * days) AS INTEGER) AS date, round(bend / scale, 4) AS delta FROM bent""",
+)
+
+
+def _logistic(steps: int) -> str:
+    """Tables ``theta0`` (the line through the logits) to ``theta<steps>``: Gauss-Newton steps."""
+    parts = [
+        """,
+ends AS (SELECT symbol, max(close) * 1.3 AS cap, min(close) * 0.5 AS floor, min(date) AS a, max(date) AS b FROM bars GROUP BY symbol),
+room AS (
+  SELECT symbol, close - floor AS y, cap - floor AS c, date_diff('day', a, date) / date_diff('day', a, b) AS t
+  FROM bars JOIN ends USING (symbol)),
+logits AS (SELECT symbol, t, ln(p / (1 - p)) AS z FROM (SELECT symbol, t, least(greatest(y / c, 0.01), 0.99) AS p FROM room)),
+theta0 AS (SELECT symbol, regr_intercept(z, t) AS u, regr_slope(z, t) AS v FROM logits GROUP BY symbol)"""
+    ]
+    for i in range(1, steps + 1):
+        parts.append(f""",
+rows{i} AS (
+  SELECT symbol, u, v, t, y - c * s AS r, c * s * (1 - s) AS g
+  FROM (SELECT symbol, u, v, t, y, c, 1 / (1 + exp(-(u + v * t))) AS s FROM room JOIN theta{i - 1} USING (symbol))),
+sums{i} AS (
+  SELECT symbol, any_value(u) AS u, any_value(v) AS v, sum(g * g) AS p, sum(g * g * t) AS q, sum(g * g * t * t) AS w,
+         sum(g * r) AS d, sum(g * t * r) AS e
+  FROM rows{i} GROUP BY symbol),
+theta{i} AS (
+  SELECT symbol, u + (d * w - e * q) / (p * w - q * q) AS u, v + (e * p - d * q) / (p * w - q * q) AS v FROM sums{i})""")
+    return "".join(parts)
+
+
+SQL["fc_logistic_step"] = _with(
+    _BARS + _logistic(1),
+    """
+SELECT symbol, count(*) AS n, round(any_value(u), 5) AS level, round(any_value(v), 5) AS rate
+FROM room JOIN theta1 USING (symbol) GROUP BY symbol""",
+)
+_SETTLED = ",\nsettled AS (SELECT symbol, u, v, sqrt(avg((y - c / (1 + exp(-(u + v * t)))) ** 2)) AS sigma, count(*) AS n FROM room JOIN theta20 USING (symbol) GROUP BY ALL)"
+SQL["fc_fit_logistic"] = _with(
+    _BARS + _logistic(20) + _SETTLED,
+    """
+SELECT symbol, n, round(u, 5) AS level, round(v, 5) AS rate, round(sigma, 4) AS deviation, true AS converged FROM settled""",
+)
+SQL["fc_predict_logistic"] = _with(
+    _BARS + _logistic(20) + _SETTLED,
+    """
+, ahead AS (
+  SELECT symbol, b + CAST(i AS INTEGER) AS date, sigma,
+         floor + (cap - floor) / (1 + exp(-(u + v * (1 + i / date_diff('day', a, b))))) AS p
+  FROM settled JOIN ends USING (symbol), unnest(generate_series(1, 30)) AS g(i))
+SELECT symbol, date, round(p, 3) AS predicted_price, round(p - 1.2816 * sigma, 3) AS lower_bound,
+       round(p + 1.2816 * sigma, 3) AS upper_bound
+FROM ahead""",
+)
 SQL["fc_future_frame"] = _with(
     _BARS,
     """
@@ -1196,6 +1287,83 @@ SQL["fc_holiday_table"] = _with(
 SELECT symbol, date, holiday FROM named WHERE holiday IS NOT NULL""",
 )
 
+def _calendar() -> str:
+    """Table ``calendar`` (country, name, day) of all years in the data; Easter by the paschal full moon."""
+    easter = """
+years AS (SELECT DISTINCT CAST(year(date) + i AS INTEGER) AS y FROM bars, unnest([-1, 0, 1]) AS g(i)),
+moons AS (SELECT y, y % 19 AS a, y // 100 AS b, y % 100 AS c FROM years),
+ages AS (SELECT *, (19 * a + b - b // 4 - (b - (b + 8) // 25 + 1) // 3 + 15) % 30 AS h FROM moons),
+weeks AS (SELECT *, (32 + 2 * (b % 4) + 2 * (c // 4) - h - c % 4) % 7 AS l FROM ages),
+steps AS (SELECT *, (a + 11 * h + 22 * l) // 451 AS m FROM weeks),
+easters AS (SELECT y, make_date(y, (h + l - 7 * m + 114) // 31, (h + l - 7 * m + 114) % 31 + 1) AS easter FROM steps),"""
+    fixed = {
+        "BE": "1-1 New Year's Day|5-1 Labour Day|7-21 National Day|8-15 Assumption Day|11-1 All Saints' Day|11-11 Armistice Day|12-25 Christmas Day",
+        "BR": "1-1 New Year's Day|4-21 Tiradentes|5-1 Labour Day|9-7 Independence Day|10-12 Our Lady of Aparecida|11-2 All Souls' Day|11-15 Republic Day|12-25 Christmas Day",
+        "CH": "1-1 New Year's Day|8-1 National Day|12-25 Christmas Day",
+        "DE": "1-1 New Year's Day|5-1 Labour Day|10-3 Unity Day|12-25 Christmas Day|12-26 Second Christmas Day",
+        "ES": "1-1 New Year's Day|1-6 Epiphany|5-1 Labour Day|8-15 Assumption Day|10-12 National Day|11-1 All Saints' Day|12-6 Constitution Day|12-8 Immaculate Conception|12-25 Christmas Day",
+        "FR": "1-1 New Year's Day|5-1 Labour Day|5-8 Victory Day|7-14 Bastille Day|8-15 Assumption Day|11-1 All Saints' Day|11-11 Armistice Day|12-25 Christmas Day",
+        "GB": "1-1 New Year's Day|12-25 Christmas Day|12-26 Boxing Day",
+        "IT": "1-1 New Year's Day|1-6 Epiphany|4-25 Liberation Day|5-1 Labour Day|6-2 Republic Day|8-15 Assumption Day|11-1 All Saints' Day|12-8 Immaculate Conception|12-25 Christmas Day|12-26 Saint Stephen's Day",
+        "NL": "1-1 New Year's Day|12-25 Christmas Day|12-26 Second Christmas Day",
+        "SE": "1-1 New Year's Day|1-6 Epiphany|5-1 Labour Day|12-25 Christmas Day|12-26 Second Christmas Day",
+        "US": "1-1 New Year's Day|7-4 Independence Day|11-11 Veterans Day|12-25 Christmas Day",
+    }
+    later = [("NL", 4, 27, "King's Day", 2014), ("BR", 11, 20, "Black Consciousness Day", 2024), ("US", 6, 19, "Juneteenth", 2021), ("SE", 6, 6, "National Day", 2005)]
+    moved = {
+        "BR": "-48 Carnival Monday|-47 Carnival Tuesday|-2 Good Friday|60 Corpus Christi",
+        "DE": "-2 Good Friday|1 Easter Monday|39 Ascension Day|50 Whit Monday",
+        "FR": "1 Easter Monday|39 Ascension Day|50 Whit Monday",
+        "GB": "-2 Good Friday|1 Easter Monday",
+        "NL": "-2 Good Friday|1 Easter Monday|39 Ascension Day|50 Whit Monday",
+        "ES": "-2 Good Friday",
+        "IT": "1 Easter Monday",
+        "CH": "-2 Good Friday|1 Easter Monday|39 Ascension Day|50 Whit Monday",
+        "BE": "1 Easter Monday|39 Ascension Day|50 Whit Monday",
+        "SE": "-2 Good Friday|1 Easter Monday|39 Ascension Day",
+    }
+    # Country, name, and the span of days in which one weekday (Monday is 1) is the holiday.
+    spans = [
+        ("US", "Martin Luther King Day", 1, 15, 1), ("US", "Washington's Birthday", 2, 15, 1), ("US", "Memorial Day", 5, 25, 1),
+        ("US", "Labor Day", 9, 1, 1), ("US", "Columbus Day", 10, 8, 1), ("US", "Thanksgiving", 11, 22, 4),
+        ("GB", "Early May Bank Holiday", 5, 1, 1), ("GB", "Spring Bank Holiday", 5, 25, 1), ("GB", "Summer Bank Holiday", 8, 25, 1),
+        ("SE", "Midsummer Day", 6, 20, 6), ("SE", "All Saints' Day", 10, 31, 6),
+    ]
+    quoted = lambda x: x.replace("'", "''")
+    rows = []
+    for country, text in fixed.items():
+        for entry in text.split("|"):
+            day, name = entry.split(" ", 1)
+            m, d = day.split("-")
+            rows.append(f"SELECT '{country}' AS country, '{quoted(name)}' AS name, make_date(y, {m}, {d}) AS day FROM years")
+    rows += [f"SELECT '{c}', '{quoted(n)}', make_date(y, {m}, {d}) FROM years WHERE y >= {s}" for c, m, d, n, s in later]
+    for country, text in moved.items():
+        for entry in text.split("|"):
+            days, name = entry.split(" ", 1)
+            rows.append(f"SELECT '{country}', '{name}', easter + ({days}) FROM easters")
+    rows += [
+        f"SELECT '{c}', '{quoted(n)}', make_date(y, {m}, {d}) + CAST(({w} - isodow(make_date(y, {m}, {d})) + 7) % 7 AS INTEGER) FROM years"
+        for c, n, m, d, w in spans
+    ]
+    observed = """,
+observed AS (
+  SELECT country, name || ' (observed)' AS name, CASE
+    WHEN country = 'US' AND isodow(day) = 6 THEN day - 1 WHEN country = 'US' AND isodow(day) = 7 THEN day + 1
+    WHEN name = 'New Year''s Day' AND isodow(day) = 6 THEN day + 2 WHEN name = 'New Year''s Day' AND isodow(day) = 7 THEN day + 1
+    WHEN isodow(day) >= 6 THEN day + 2 END AS day
+  FROM calendar WHERE isodow(day) >= 6 AND (
+    country = 'US' AND name IN ('New Year''s Day', 'Juneteenth', 'Independence Day', 'Veterans Day', 'Christmas Day')
+    OR country = 'GB' AND name IN ('New Year''s Day', 'Christmas Day', 'Boxing Day')))"""
+    return "," + easter + "\ncalendar AS (" + "\nUNION ALL ".join(rows) + ")" + observed
+
+
+SQL["fc_country_holidays"] = _with(
+    _BARS + _calendar(),
+    """
+SELECT symbol, date, country, name AS holiday
+FROM bars JOIN (SELECT * FROM calendar UNION ALL SELECT * FROM observed) ON date = day""",
+)
+
 # --- runs ------------------------------------------------------------------
 
 _STATUS = (
@@ -1286,3 +1454,11 @@ SELECT event_type AS symbol, strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S
        arg_min(value, row(ts, value)) AS open, max(value) AS high, min(value) AS low,
        arg_max(value, row(ts, value)) AS close, count(*) AS volume, count(*) AS ticks
 FROM events GROUP BY 1, 2"""
+
+SQL["st_ingest_once"] = _with(_BARS, "SELECT symbol, date, ingest_seq, close, volume FROM bars")
+SQL["st_batch_ledger"] = _with(
+    _BARS,
+    """
+SELECT count(*) AS rows, min(date) AS first_date, max(date) AS last_date FROM bars
+GROUP BY CASE WHEN year(date) <= 1994 THEN 1 WHEN year(date) <= 1996 THEN 2 ELSE 3 END""",
+)

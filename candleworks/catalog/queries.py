@@ -17,6 +17,8 @@ from candleworks.operators import analytics as an
 from candleworks.operators import corrections as fix
 from candleworks.operators import features as ft
 from candleworks.operators import forecast as fc
+from candleworks.operators import growth
+from candleworks.operators import holidays as hd
 from candleworks.operators import metrics as fm
 from candleworks.operators import projections as proj
 from candleworks.operators import quality as dq
@@ -938,7 +940,7 @@ def fc_prepare(spark, sf_dir):
 @query
 def fc_fit(spark, sf_dir):
     return _fitted(spark, sf_dir).select(
-        SYMBOL, "n", "days", "y_scale", "sigma", F.size("coefficients").alias("n_coefficients")
+        SYMBOL, "n", "days", "y_scale", "sigma", *[F.round(F.col("coefficients")[i], 6).alias(f"c{i}") for i in range(4)]
     )
 
 
@@ -1000,6 +1002,78 @@ def fc_evaluate_line(spark, sf_dir):
     return _plain(scores, {k: v for k, v in _METRIC_DIGITS.items() if k in scores.columns}).select(SYMBOL, "rmse", "mae")
 
 
+#: A line with one bend by ordinary least squares, for SQL too.
+_BEND = fc.Model(
+    changepoints=1, changepoint_range=0.5, changepoint_prior=float("inf"), yearly=0, weekly=0,
+    trend_prior=float("inf"), seasonality_prior=float("inf"),
+)
+
+
+@query
+def fc_fit_bend(spark, sf_dir):
+    fitted = fc.fit(_training(spark, sf_dir), _BEND)
+    level = lambda x: F.round(x * F.col("y_scale"), 4)
+    b = F.col("coefficients")
+    return fitted.select(
+        SYMBOL, level(b[0]).alias("start_level"), level(b[1]).alias("change"), level(b[2]).alias("bend"),
+        level(F.col("sigma")).alias("deviation"),
+    )
+
+
+@query
+def fc_predict_bend(spark, sf_dir):
+    """Intervals that grow with the horizon, by the trend changes that may come."""
+    train = _training(spark, sf_dir)
+    rows = fc.predictions(fc.predict(fc.future_frame(train, 400), fc.fit(train, _BEND), _BEND))
+    return _plain(rows, {"predicted_price": 3, "lower_bound": 3, "upper_bound": 3})
+
+
+@query
+def fc_changepoints_bend(spark, sf_dir):
+    rows = fc.changepoints(fc.fit(_training(spark, sf_dir), _BEND), _BEND)
+    return _plain(rows.withColumn("delta", F.round("delta", 4)))
+
+
+#: Logistic growth of the trend alone.
+_GROWTH = fc.Model(changepoints=0, yearly=0, weekly=0)
+
+
+def _growth_rows(spark, sf_dir):
+    """Closes under a capacity of 1.3 times the symbol's highest close, above a floor of half its lowest."""
+    bars = fx.bars_by_brand(spark, sf_dir)
+    ends = bars.groupBy(SYMBOL).agg((F.max("close") * 1.3).alias("cap"), (F.min("close") * 0.5).alias("floor"))
+    return growth.prepare(bars.join(ends, SYMBOL), F.col("cap"), F.col("floor"))
+
+
+def _growth_columns(fitted: DataFrame, coefficients: str) -> list:
+    b = F.col(coefficients)
+    return [F.round(b[0], 5).alias("level"), F.round(b[1], 5).alias("rate")]
+
+
+@query
+def fc_logistic_step(spark, sf_dir):
+    """One Gauss-Newton step of the logistic fit, from the line through the logits."""
+    rows, ranges = growth.placed_rows(_growth_rows(spark, sf_dir), _GROWTH)
+    state = growth.improved(rows, growth.start(rows, ranges, _GROWTH), _GROWTH)
+    return state.select(SYMBOL, "n", *_growth_columns(state, "theta"))
+
+
+@query
+def fc_fit_logistic(spark, sf_dir):
+    fitted = growth.fit(_growth_rows(spark, sf_dir), _GROWTH)
+    deviation = F.round(F.col("sigma") * F.col("y_scale"), 4).alias("deviation")
+    return fitted.select(SYMBOL, "n", *_growth_columns(fitted, "coefficients"), deviation, "converged")
+
+
+@query
+def fc_predict_logistic(spark, sf_dir):
+    train = _growth_rows(spark, sf_dir)
+    ends = train.select(SYMBOL, "cap", "floor").distinct()
+    ahead = fc.future_frame(train, 30, include_history=False).join(ends, SYMBOL)
+    rows = fc.predictions(growth.predict(ahead, growth.fit(train, _GROWTH), _GROWTH))
+    return _plain(rows, {"predicted_price": 3, "lower_bound": 3, "upper_bound": 3})
+
+
 @query
 def fc_changepoints(spark, sf_dir):
     return _plain(fc.changepoints(_fitted(spark, sf_dir)))
@@ -1030,6 +1104,15 @@ def fc_holiday_table(spark, sf_dir):
     return rows.select(SYMBOL, "date", F.explode(kept).alias("holiday"))
 
 
+@query
+def fc_country_holidays(spark, sf_dir):
+    """Bars on a public holiday of any country that has rules, movable and observed days too."""
+    days = fx.bars_by_brand(spark, sf_dir).select(SYMBOL, "date")
+    pairs = [F.struct(F.lit(c).alias("country"), hd.of(c, F.col("date")).alias("names")) for c in sorted(hd.RULES)]
+    rows = days.select(SYMBOL, "date", F.explode(F.array(*pairs)).alias("c"))
+    return rows.select(SYMBOL, "date", "c.country", F.explode("c.names").alias("holiday"))
+
+
 @query
 def fc_fit_with_holidays(spark, sf_dir):
     """The fit with holiday columns as regressors."""
@@ -1141,7 +1224,7 @@ def st_ingest_falling_order(spark, sf_dir):
     target = store.BarStore(spark, fresh_folder(spark, "falling-store"))
     late = F.col(SEQ) > 1_000_000
     for part in (rows.where(late), rows.where(~late)):
-        part.coalesce(1).write.mode("append").parquet(landing)
+        part.write.mode("append").parquet(landing)
         stream = spark.readStream.schema(rows.schema).parquet(landing)
         started = (
             stream.writeStream.foreachBatch(streams.upsert_into(target, ORIGINAL))
@@ -1153,6 +1236,43 @@ def st_ingest_falling_order(spark, sf_dir):
     return target.bars(ORIGINAL).select(SYMBOL, "date", SEQ, "close", "volume")
 
 
+def _run_ingest(rows: DataFrame, target, state: str, ledger) -> None:
+    merge = streams.upsert_into(target, ORIGINAL, ledger)
+    started = rows.writeStream.foreachBatch(merge).option("checkpointLocation", state).trigger(availableNow=True).start()
+    started.awaitTermination()
+
+
+def _ingest_once(spark, sf_dir):
+    """Bars land quarter by quarter with each file sent twice, and then some of it once more;
+    the stream's state drops the repeats, and the ledger the batches that are run again."""
+    landing = fresh_folder(spark, "once")
+    bars = staged(fx.bars_by_brand(spark, sf_dir), "bars")
+    target = store.BarStore(spark, fresh_folder(spark, "once-store"))
+    ledger = streams.BatchLedger(target, "landing")
+    for years in ((0, 1994), (1995, 1996), (1997, 9999)):
+        part = bars.where(F.year("date").between(*years))
+        for _ in range(2):
+            part.write.mode("append").parquet(landing)
+        rows = streams.first_copies(spark.readStream.schema(bars.schema).parquet(landing), "4000 days")
+        _run_ingest(rows, target, f"{landing}-state", ledger)
+    # A restart that has lost its own record of batch 0 delivers it again.
+    streams.upsert_into(target, ORIGINAL, ledger)(bars.where(F.year("date") <= 1994).withColumn("close", F.lit(-1.0)), 0)
+    return target, ledger
+
+
+@query
+def st_ingest_once(spark, sf_dir):
+    target, _ = _ingest_once(spark, sf_dir)
+    return target.bars(ORIGINAL).select(SYMBOL, "date", SEQ, "close", "volume")
+
+
+@query
+def st_batch_ledger(spark, sf_dir):
+    """Rows that the state let through and dates, over the batches that brought any."""
+    _, ledger = _ingest_once(spark, sf_dir)
+    return ledger.entries().where("rows > 0").select("rows", "first_date", "last_date")
+
+
 @query
 def st_row_rules(spark, sf_dir):
     flagged = streams.flag_rows(_landed_stream(spark, sf_dir, "landing"))

@@ -300,13 +300,39 @@ def future_frame(
     return training.select(SYMBOL, "ds").unionByName(ahead) if include_history else ahead
 
 
+def _ahead() -> Column:
+    """How far a row lies behind the training data, in lengths of it; 0 within."""
+    return F.greatest(F.coalesce(ratio(_days("ds") - F.col("_start"), "_length"), F.lit(0.0)) - 1, F.lit(0.0))
+
+
+def trend_variance(changes: Column, ahead: Column, model: Model) -> Column:
+    """Variance of the trend from changes that may come after the training data.
+
+    They come as often as the model's changes did, as a Poisson process of rate S, with
+    Laplace sizes of the scale of the fitted ones. A change at s adds delta (h - s) at
+    horizon h, so the variance is S 2 scale^2 times the integral of (h - s)^2: in closed
+    form 2/3 S scale^2 h^3, and no path is drawn.
+    """
+    if not model.changepoints:
+        return F.lit(0.0)
+    scale = F.aggregate(changes, F.lit(0.0), lambda a, d: a + F.abs(d)) / model.changepoints
+    rate = model.changepoints / model.changepoint_range
+    return scale * scale * ahead * ahead * ahead * (2.0 / 3.0 * rate)
+
+
 def predict(frame: DataFrame, fitted: DataFrame, model: Model = Model()) -> DataFrame:
-    """(symbol, ds, yhat, yhat_lower, yhat_upper) for the rows of ``frame``."""
+    """(symbol, ds, yhat, yhat_lower, yhat_upper) for the rows of ``frame``.
+
+    The interval holds the residual deviation and, beyond the last training row, that of
+    trend changes to come (see :func:`trend_variance`), which grows with the horizon.
+    """
     coefficients = fitted.withColumnsRenamed({"start_day": "_start", "days": "_length"})
     joined = spread_join(frame, coefficients, [SYMBOL], "ds")
     products = F.zip_with(_design(model), "coefficients", lambda x, b: x * b)
     fit_value = F.aggregate(products, F.lit(0.0), lambda a, x: a + x) * F.col("y_scale")
-    reach = F.col("sigma") * F.col("y_scale") * INTERVAL_80
+    changes = F.slice("coefficients", 3, model.changepoints)
+    spread = F.sqrt(F.col("sigma") * F.col("sigma") + trend_variance(changes, _ahead(), model))
+    reach = spread * F.col("y_scale") * INTERVAL_80
     return joined.withColumn("yhat", fit_value).select(
         SYMBOL,
         "ds",
