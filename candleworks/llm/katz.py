@@ -50,7 +50,7 @@ ORDER = 2
 #: Larger counts are not Good-Turing discounted.
 RELIABLE = 5
 #: Characters of a slice (at least one document), and n-grams that a part should hold.
-SLICE_CHARS, PART_GRAMS, LEAST_PARTS = 8_000_000, 4_000_000, 64
+SLICE_CHARS, PART_GRAMS, LEAST_PARTS = 4_000_000, 4_000_000, 64
 
 _END, _BEGIN = (np.uint64(xxhash.xxh64_intdigest(mark)) for mark in (b"", b" "))  # no words
 
