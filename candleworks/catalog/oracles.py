@@ -373,19 +373,19 @@ counted AS (
 _ALL_STORED = (
     _BARS + ",\neven AS (SELECT * FROM bars)," + _filled("bars") + _PERIOD
 )
+_ISSUES_OF_BARS = "\nUNION ALL ".join(
+    [f"(SELECT symbol, severity FROM ({s}))" for s in _issue_selects("bars").values()]
+    + ["(SELECT symbol, 'CRITICAL' FROM bars GROUP BY symbol HAVING count(*) < 5)"]
+)
 SQL["sink_metadata"] = _with(
     _ALL_STORED
-    + """,
+    + f""",
 counted AS (
-  SELECT symbol, CAST(count(*) > 0 AS BIGINT) * 0 + 1
-           + CAST(count(*) FILTER (abs(open - high) <= 0.01 AND abs(open - low) <= 0.01
-                                   AND abs(open - close) <= 0.01) > 0 AS BIGINT)
-           + CAST(count(*) FILTER (isodow(date) >= 6) > 0 AS BIGINT) AS n,
-         CAST(count(*) FILTER (abs(open - high) <= 0.01 AND abs(open - low) <= 0.01
-                               AND abs(open - close) <= 0.01) > 0 AS BIGINT)
-           + CAST(count(*) FILTER (isodow(date) >= 6) > 0 AS BIGINT) AS w
-  FROM bars GROUP BY symbol)""",
-    _METADATA,
+  SELECT symbol, count(*) AS n, count(*) FILTER (severity = 'WARNING') AS w, count(*) FILTER (severity = 'CRITICAL') AS k
+  FROM ({_ISSUES_OF_BARS}) GROUP BY symbol)""",
+    _METADATA.replace("TRUE AS is_valid", "i.k = 0 AS is_valid")
+    .replace("CAST(0 AS BIGINT) AS critical_count", "i.k AS critical_count")
+    .replace("i.n - i.w AS info_count", "i.n - i.w - i.k AS info_count"),
 )
 SQL["src_list_symbols"] = _with(_EVEN, "SELECT DISTINCT symbol FROM even")
 _EVERY_YEAR = "(SELECT DISTINCT CAST(year(date) AS INTEGER) AS y FROM bars)"

@@ -296,8 +296,7 @@ def sink_backups_on_disk(spark, sf_dir):
 @query
 def sink_metadata(spark, sf_dir):
     bars = fx.bars_by_brand(spark, sf_dir)
-    found = rules.issues(bars, ["vr_ohlc_identical", "vr_weekend_trading", "vr_temporal_stats"])
-    verdict = rules.summary(bars, found)
+    verdict = rules.summary(bars, rules.issues(bars))
     return store.run_metadata(bars, fix.corrected_layer(bars), bars, verdict)
 
 
