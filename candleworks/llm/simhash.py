@@ -7,10 +7,11 @@ orthogonal to all of them, so two fingerprints that differ there agree in that t
 2^(r+1) - 1 tables miss no pair within the radius.
 
 Within a bucket the candidates are compared exactly. Buckets of up to SMALL distinct
-fingerprints are compared member by member. In larger ones (radius 2 and below) each
-member is keyed by itself and by every change of one of the table's free bits: two
-members share a key exactly if they differ in two bits or fewer, and a key has at most
-one member per free bit, so links grow with the members and not with their square.
+fingerprints are compared member by member. In larger ones each member is keyed by itself
+and by every change of one of the table's free bits: two members share a key exactly if
+they differ in two bits or fewer, one of them is the key itself exactly if they differ in
+one, and a key has at most one member per free bit, so links grow with the members and not
+with their square. Radii above 2 have no such keys here and are refused.
 
 Equal fingerprints are one class from the start. Null and empty texts have fingerprint
 zero and are linked like any other. Rows without doc_id take part by their fingerprint
@@ -98,17 +99,18 @@ def _signed(number: int) -> int:
 
 def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
     """Edges (a, b) between distinct fingerprints ``fp`` whose components are those of all
-    pairs within the radius; every edge is such a pair."""
+    pairs within the radius (0, 1 or 2); every edge is such a pair."""
+    if not 0 <= radius <= 2:
+        raise ValueError(f"radius {radius}: only 0, 1 and 2 bits are split in large buckets")
     masks = [_signed(m) for m in covering_masks(radius)]
     keys = F.array(*[F.struct(F.lit(i).alias("table"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for i, m in enumerate(masks)])
     keyed = distinct.select("fp", F.inline(keys))
     sizes = keyed.groupBy("table", "key").agg(F.count("*").alias("members"))
     shared = staged(sizes.where("members > 1"), "buckets")
     members = staged(keyed.join(shared, ["table", "key"]), "candidates")
-    limit = SMALL if radius <= 2 else 1 << 62
 
     # Bounded lists: at most SMALL fingerprints each.
-    lists = members.where(F.col("members") <= limit).groupBy("table", "key").agg(F.sort_array(F.collect_list("fp")).alias("fps"))
+    lists = members.where(F.col("members") <= SMALL).groupBy("table", "key").agg(F.sort_array(F.collect_list("fp")).alias("fps"))
     near = lists.select(F.explode("fps").alias("a"), "fps").select(
         "a",
         F.explode(F.filter("fps", lambda b: (b < F.col("a")) & (F.bit_count(b.bitwiseXOR(F.col("a"))) <= radius))).alias("b"),
@@ -118,9 +120,12 @@ def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
     every = (1 << BITS) - 1
     free = [[0] + [_signed(1 << i) for i in range(BITS) if ((m ^ every) >> i) & 1] for m in covering_masks(radius)]
     flips = F.element_at(F.array(*[F.array(*[F.lit(x).cast("long") for x in row]) for row in free]), F.col("table") + 1)
-    changed = members.where(F.col("members") > limit).select("table", "fp", F.explode(flips).alias("flip"))
+    changed = members.where(F.col("members") > SMALL).select("table", "fp", F.explode(flips).alias("flip"))
     ball = changed.groupBy("table", F.col("fp").bitwiseXOR(F.col("flip")).alias("centre")).agg(F.collect_list("fp").alias("fps"))
-    star = ball.where(F.size("fps") > 1).select(F.explode("fps").alias("a"), F.array_min("fps").alias("b")).where("a != b")
+    # At two bits all members of a key are near each other, at one bit only to the key's own.
+    hub = F.array_min("fps") if radius == 2 else F.col("centre")
+    star = ball.where(F.array_contains("fps", hub) & (F.size("fps") > 1)).select(F.explode("fps").alias("a"), hub.alias("b"))
+    star = star.where("a != b")
     return near.unionByName(star).distinct()
 
 

@@ -1,9 +1,10 @@
 import random
 from itertools import combinations
 
+import pytest
 import xxhash
 
-from candleworks.llm import near_copies, simhash
+from candleworks.llm import simhash
 from candleworks.llm.components import components
 
 
@@ -51,7 +52,8 @@ def test_masks_cover_every_pair_within_the_radius():
         assert any(not m >> a & 1 and not m >> b & 1 for m in masks)
 
 
-def test_links_have_the_components_of_all_near_pairs(spark):
+@pytest.mark.parametrize("radius", [0, 1, 2])
+def test_links_have_the_components_of_all_near_pairs(spark, radius):
     """Small buckets, and one with far more near copies than are compared one by one."""
     rng = random.Random(3)
     centres = [rng.getrandbits(64) for _ in range(20)]
@@ -60,14 +62,19 @@ def test_links_have_the_components_of_all_near_pairs(spark):
         found |= {c ^ (1 << rng.randrange(64)) ^ (1 << rng.randrange(64)) for _ in range(6)}
     crowd = {centres[0] ^ sum(1 << b for b in rng.sample(range(64), rng.randrange(1, 5))) for _ in range(400)}
     signed = sorted({simhash._signed(f) for f in found | crowd})
-    edges = simhash.links(spark.createDataFrame([(f,) for f in signed], "fp long"))
+    edges = simhash.links(spark.createDataFrame([(f,) for f in signed], "fp long"), radius)
     pairs = [(r.a, r.b) for r in edges.collect()]
-    assert all(distance(a, b) <= 2 for a, b in pairs)
-    want = plain_components(signed, lambda a, b: distance(a, b) <= 2)
+    assert all(distance(a, b) <= radius for a, b in pairs)
+    want = plain_components(signed, lambda a, b: distance(a, b) <= radius)
     got = {f: f for f in signed} | {r.node: r.root for r in components(edges).collect()}
     assert got == want
 
 
+def test_radii_without_a_split_are_refused(spark):
+    with pytest.raises(ValueError):
+        simhash.links(spark.createDataFrame([(1,)], "fp long"), 3)
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(5, i) for i in range(200, 240)] + [(7, 7), (240, 5)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
@@ -95,10 +102,9 @@ def test_one_document_of_each_group_stays(documents, awkward):
 
 
 def test_one_row_of_each_group_stays_without_ids(documents):
-    """Both ways of grouping: copies without ids, and an id that two texts share."""
+    """Copies without ids, and an id that two texts share."""
     text, far = " ".join(f"w{i}" for i in range(400)), " ".join(f"v{i}" for i in range(400))
-    for deduplicated in (simhash.deduplicated, near_copies.deduplicated):
-        kept = deduplicated(documents([(None, text), (None, text), (None, far), (8, far), (None, "a b c d")])).collect()
-        assert sorted(((r.doc_id, r.text) for r in kept), key=str) == [(8, far), (None, "a b c d"), (None, text)]
-        both = deduplicated(documents([(1, text), (2, text), (2, far)])).collect()
-        assert sorted((r.doc_id, r.text) for r in both) == [(1, text), (2, far)]
+    kept = simhash.deduplicated(documents([(None, text), (None, text), (None, far), (8, far), (None, "a b c d")])).collect()
+    assert sorted(((r.doc_id, r.text) for r in kept), key=str) == [(8, far), (None, "a b c d"), (None, text)]
+    both = simhash.deduplicated(documents([(1, text), (2, text), (2, far)])).collect()
+    assert sorted((r.doc_id, r.text) for r in both) == [(1, text), (2, far)]
