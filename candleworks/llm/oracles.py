@@ -38,25 +38,28 @@ def _host(url: str) -> str:
     return f"translate(coalesce(regexp_extract({url}, '://([^/?#]*)', 1), ''), {letters})"
 
 
-def _rank_rounds(rounds: int) -> str:
-    """Tables rank1, rank2, ...: what flows along links, and what returns to the seeds."""
-    return ",".join(
-        f"""
-sent{i} AS (
-    SELECT e.kind, e.dst AS host, sum(r.rank * e.share * 0.85) AS got
-    FROM edges e JOIN rank{i - 1} r ON r.kind = e.kind AND r.host = e.src GROUP BY 1, 2),
-passed{i} AS (
-    SELECT kind, sum(rank) * 0.85 AS passed FROM rank{i - 1}
-    WHERE (kind, host) IN (SELECT (kind, src) FROM edges) GROUP BY kind),
-rank{i} AS MATERIALIZED (
-    SELECT kind, host, coalesce(s.seed * (1 - coalesce(p.passed, 0)), 0) + coalesce(t.got, 0) AS rank
-    FROM seeds s LEFT JOIN passed{i} p USING (kind) FULL JOIN sent{i} t USING (kind, host))"""
-        for i in range(1, rounds + 1)
-    )
+#: Rounds after which all changes of ranks are below 1e-14: 2 * 0.85 ** 210.
+_ROUNDS = 210
+
+#: What flows along links, and what returns to the seeds, round by round.
+_RANKS = f"""
+ranks(n, kind, host, rank) AS (
+    SELECT 0, kind, host, seed FROM seeds
+    UNION ALL
+    SELECT n, kind, host, sum(part) FROM (
+        SELECT r.n + 1 AS n, r.kind, e.dst AS host, r.rank * e.share * 0.85 AS part
+        FROM ranks r JOIN edges e ON r.kind = e.kind AND r.host = e.src WHERE r.n < {_ROUNDS}
+        UNION ALL
+        SELECT any_value(r.n) + 1, s.kind, s.host,
+            any_value(s.seed) * (1 - coalesce(sum(CASE WHEN o.src IS NOT NULL THEN r.rank * 0.85 END), 0))
+        FROM ranks r LEFT JOIN (SELECT DISTINCT kind, src FROM edges) o ON r.kind = o.kind AND r.host = o.src
+            JOIN seeds s ON s.kind = r.kind
+        WHERE r.n < {_ROUNDS} GROUP BY s.kind, s.host
+    ) GROUP BY ALL)"""
 
 
 SQL["op1_url_trust"] = f"""
-WITH rules(rule, verdict) AS (
+WITH RECURSIVE rules(rule, verdict) AS (
     VALUES ('org/', 'allow'), ('example.org/es/', 'block'), ('example.org/en/1', 'block'), ('com/fr/', 'allow'),
            ('com/de/', 'block')
 ), parts AS (
@@ -87,11 +90,11 @@ WITH rules(rule, verdict) AS (
     FROM judged WHERE rule IS NOT NULL AND host <> '' GROUP BY 1, 2
 ), seeds AS MATERIALIZED (
     SELECT kind, host, weight / sum(weight) OVER (PARTITION BY kind) AS seed FROM weights
-), rank0 AS (SELECT kind, host, seed AS rank FROM seeds),{_rank_rounds(20)},
+), {_RANKS},
 hosts AS (
     SELECT host, round(sum(CASE WHEN kind = 'trust' THEN rank ELSE 0 END), 12) AS trust,
         round(sum(CASE WHEN kind = 'distrust' THEN rank ELSE 0 END), 12) AS distrust
-    FROM rank20 GROUP BY host)
+    FROM ranks WHERE n = {_ROUNDS} GROUP BY host)
 SELECT page_id, host, path, rule,
     coalesce(rule_verdict, CASE WHEN distrust > trust THEN 'block' ELSE 'allow' END) AS verdict,
     coalesce(trust, 0) AS trust, coalesce(distrust, 0) AS distrust

@@ -8,8 +8,11 @@ A host is blocked when its distrust exceeds TOLERANCE times its trust.
 
 Links are counted per pair of hosts first, so the graph has one row per pair, however
 many pages stand behind it; links within a host say nothing and are left out. Ranks of
-hosts without outgoing links flow back to the seeds. Every few rounds the ranks are
-written to the shared work folder, which cuts the lineage.
+hosts without outgoing links flow back to the seeds. Rounds go on until no rank moves by
+SETTLED: a rank then differs from its limit by less than SETTLED / (1 - DAMPING), below the
+digits that are compared. A round shrinks all changes together by DAMPING, so this takes
+fewer than MAX_ROUNDS rounds on any graph. Every few rounds the ranks are written to the
+shared work folder, which cuts the lineage.
 
 Null urls and urls without ``://`` have an empty host and path, match no rule and are
 allowed. Null pages have no links. Repeated rows count as pages of their own. An empty
@@ -27,11 +30,12 @@ from candleworks.llm.text import spare_name
 from candleworks.session import staged
 
 DAMPING = 0.85
-ROUNDS = 20
+#: Well beyond ln(SETTLED) / ln(DAMPING) = 184 rounds, so that the ranks have settled by then.
+MAX_ROUNDS = 210
 #: Rounds between two written copies of the ranks.
 WRITE_EVERY = 5
-#: Largest change of a rank in a round at which the ranks count as settled.
-SETTLED = 1e-9
+#: Largest change of a rank over the rounds between two copies at which the ranks count as settled.
+SETTLED = 1e-13
 TOLERANCE = 1.0
 #: Ranks are compared to this many digits, so that the order of sums doesn't matter.
 DIGITS = 12
@@ -111,7 +115,7 @@ def host_links(pages: DataFrame) -> DataFrame:
     return between.groupBy("src", "dst").agg(F.count("*").alias("links"))
 
 
-def propagate(seeds: DataFrame, links: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
+def propagate(seeds: DataFrame, links: DataFrame, rounds: int = MAX_ROUNDS, damping: float = DAMPING) -> DataFrame:
     """(kind, host, rank) from seeds (kind, host, weight) over links (kind, src, dst, links).
 
     Each kind is a graph of its own; weights and links need not be normalised.
@@ -126,30 +130,23 @@ def propagate(seeds: DataFrame, links: DataFrame, rounds: int = ROUNDS, damping:
     )
     if edges.isEmpty():  # nothing to propagate: all rank flows back to the seeds
         return start.select("kind", "host", F.col("seed").alias("rank"))
-    sources = staged(edges.select("kind", "host").distinct(), "sources")
-    ranks = start.select("kind", "host", F.col("seed").alias("rank"))
-    before = ranks
+    # What is not passed on returns to the seeds in fixed shares, so the ranks are, but for a
+    # factor, what the seeds send along all walks: x = seed + DAMPING * (x along links).
+    own = start.select("kind", "host", F.col("seed").alias("rank"))
+    ranks = before = own
     for i in range(1, rounds + 1):
-        sent = edges.join(ranks, ["kind", "host"]).groupBy("kind", F.col("dst").alias("host")).agg(
-            F.sum(F.col("rank") * F.col("share") * damping).alias("got")
-        )
-        # What is not passed on along a link returns to the seeds: 1 less the sum of what is.
-        passed = ranks.join(sources, ["kind", "host"]).groupBy("kind").agg((F.sum("rank") * damping).alias("passed"))
-        back = start.join(passed, "kind", "left").select(
-            "kind", "host", (F.col("seed") * (1 - F.coalesce("passed", F.lit(0.0)))).alias("own")
-        )
-        ranks = back.join(sent, ["kind", "host"], "full").select(
-            "kind", "host", (F.coalesce("own", F.lit(0.0)) + F.coalesce("got", F.lit(0.0))).alias("rank")
-        )
+        sent = edges.join(ranks, ["kind", "host"]).select("kind", F.col("dst").alias("host"), (F.col("rank") * F.col("share") * damping).alias("rank"))
+        ranks = sent.unionByName(own).groupBy("kind", "host").agg(F.sum("rank").alias("rank"))
         if i % WRITE_EVERY == 0 or i == rounds:
             ranks = staged(ranks, "ranks")
-            moved = ranks.join(before.withColumnRenamed("rank", "old"), ["kind", "host"], "full").agg(
-                F.max(F.abs(F.coalesce("rank", F.lit(0.0)) - F.coalesce("old", F.lit(0.0))))
+            moved = ranks.join(before.withColumnRenamed("rank", "old"), ["kind", "host"], "left").agg(
+                F.max(F.col("rank") - F.coalesce("old", F.lit(0.0)))
             )
             if (moved.first()[0] or 0.0) < SETTLED:
-                break
+                whole = ranks.groupBy("kind").agg(F.sum("rank").alias("whole"))
+                return ranks.join(whole, "kind").select("kind", "host", (F.col("rank") / F.col("whole")).alias("rank"))
             before = ranks
-    return ranks
+    raise RuntimeError(f"ranks have not settled after {rounds} rounds")
 
 
 def host_verdicts(judged: DataFrame, pages: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:

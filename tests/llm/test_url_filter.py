@@ -24,7 +24,7 @@ def fitting(url, rules=url_filter.RULES):
     return max(own, key=lambda r: (len(r.pattern), r.pattern), default=None)
 
 
-def ranks(seeds, links, rounds=url_filter.ROUNDS, damping=url_filter.DAMPING):
+def ranks(seeds, links, rounds=250, damping=url_filter.DAMPING):
     total = sum(seeds.values())
     seed = {h: w / total for h, w in seeds.items()}
     out = {}
@@ -94,6 +94,25 @@ def test_propagation_against_plain_iteration(linked):
     assert {r.page_id for r in kept.collect()} == {r.page_id for r in got.values() if r.verdict == "allow"}
 
 
+def test_a_long_chain_to_a_blocked_host(spark):
+    """60 hosts, each linking to the next, the last to a blocked one: all are suspect."""
+    names = [f"h{i}.net" for i in range(60)] + ["bad.com"]
+    rows = [(i, f"http://{a}/de/", f'<a href="http://{b}/">', None, None) for i, (a, b) in enumerate(zip(names, names[1:]))]
+    rows.append((60, "http://bad.com/de/", None, None, None))
+    got = {r.host: r for r in url_filter.judge(spark.createDataFrame(rows, PAGES)).collect()}
+    pairs = {(b, a): 1 for a, b in zip(names, names[1:])}
+    want = ranks({"bad.com": 1}, pairs)
+    assert {r.verdict for r in got.values()} == {"block"} and len(got) == 61
+    assert all(abs(r.distrust - want[h]) < 1e-11 for h, r in got.items())
+
+
+def test_ranks_that_have_not_settled_are_refused(spark):
+    seeds = spark.createDataFrame([("trust", "a", 1)], "kind string, host string, weight long")
+    ring = spark.createDataFrame([("trust", "a", "b", 1), ("trust", "b", "a", 1)], "kind string, src string, dst string, links long")
+    with pytest.raises(RuntimeError):
+        url_filter.propagate(seeds, ring, rounds=10)
+
+
 def test_no_rules_and_no_pages(spark):
     empty = spark.createDataFrame([], PAGES)
     assert url_filter.judge(empty).count() == 0 and url_filter.allowed(empty).count() == 0
