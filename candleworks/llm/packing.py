@@ -4,8 +4,9 @@ A bin has limits on three things at once: tokens, segments (pieces of documents)
 loss-bearing tokens. While a bin is open, of all waiting items that fit the one is placed
 whose demand has the largest dot product with what is left of the bin, both as shares of
 the limits. When none fits, the largest item that the other two limits allow is cut to
-fill the tokens exactly, and its rest waits on. A document longer than a bin is cut into
-full bins first.
+fill the tokens exactly, and its rest waits on. A document longer than a bin, or with more
+loss tokens than a bin may hold, is cut to the limits first. Loss tokens are counted exactly
+in each piece, from the spans of the document that bear loss.
 
 Each task packs its own rows in windows of bounded size, so nothing is shuffled and no
 group is gathered. What is left when a task ends is cut into bins whose sizes are powers
@@ -23,12 +24,14 @@ from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
 import public_tokenizers
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from candleworks.llm.text import in_slices
 
@@ -123,81 +126,121 @@ class _Item:
     ids: bytes
     start: int  # of these ids in the document
     total: int  # ids of the document
+    bearing: np.ndarray | None = None  # loss tokens before each place of the document; None: all bear loss
 
+    @property
+    def tokens(self) -> int:
+        return len(self.ids) // _WIDTH
+
+    def loss(self, length: int) -> int:
+        """Loss tokens among the first ones."""
+        if self.bearing is None:
+            return length
+        return int(self.bearing[self.start + length] - self.bearing[self.start])
+
+    def fitting(self, tokens: int, loss: int) -> int:
+        """How many of the first tokens keep to both limits."""
+        most = min(self.tokens, tokens)
+        if self.bearing is None:
+            return min(most, loss)
+        ahead = self.bearing[self.start : self.start + most + 1]
+        return int(np.searchsorted(ahead, ahead[0] + loss, side="right")) - 1
+
+    def cut(self, length: int) -> _Item:
+        """The first tokens; the rest stays here."""
+        head = _Item(self.doc, self.ids[: length * _WIDTH], self.start, self.total, self.bearing)
+        self.ids, self.start = self.ids[length * _WIDTH :], self.start + length
+        return head
 
-class Packer:
-    """Takes (doc, ids) one by one; ``ready`` and ``finish`` give rows of pieces.
 
-    loss_share: the share of an item's tokens that bear loss, by default all.
+def loss_before(total: int, spans) -> np.ndarray | None:
+    """Loss tokens before each place of a document, from (start, end) spans of its tokens.
+
+    Spans may overlap and are cut to the document; None, or a null bound, takes the end.
     """
+    if spans is None:
+        return None
+    steps = np.zeros(total + 1, np.int64)
+    for start, end in spans:
+        start = 0 if start is None else min(max(int(start), 0), total)
+        end = total if end is None else min(max(int(end), start), total)
+        steps[start] += 1
+        steps[end] -= 1
+    return np.concatenate([[0], np.cumsum(np.cumsum(steps[:-1]) > 0)]).astype(np.int32)
+
+
+class Packer:
+    """Takes (doc, ids) one by one; ``ready`` and ``finish`` give rows of pieces."""
 
     def __init__(self, limits: Limits, first_bin: int = 0):
+        if min(limits.tokens, limits.segments, limits.loss_tokens) < 1:
+            raise ValueError("every limit is at least 1")
         self.limits, self.bin = limits, first_bin
         self.caps = np.array([limits.tokens, limits.segments, limits.loss_tokens], float)
         self.waiting: list[_Item] = []
-        self.loss: list[float] = []
         self.held = 0
 
-    def add(self, doc, ids: bytes, loss_share: float = 1.0) -> Iterator[tuple]:
-        total, full = len(ids) // _WIDTH, self.limits.tokens
-        if loss_share > 0:
-            full = min(full, int(self.limits.loss_tokens / loss_share))
-        full = max(1, full)
-        start = 0
-        while total - start >= full:
-            yield self._row(_Item(doc, ids[start * _WIDTH : (start + full) * _WIDTH], start, total), 0)
-            self.bin += 1
-            start += full
-        if start < total:
-            self.waiting.append(_Item(doc, ids[start * _WIDTH :], start, total))
-            self.loss.append(loss_share)
-            self.held += total - start
+    def add(self, doc, ids: bytes, bearing: np.ndarray | None = None) -> Iterator[tuple]:
+        """bearing: as ``loss_before`` gives it; by default all tokens bear loss."""
+        rest = _Item(doc, ids, 0, len(ids) // _WIDTH, bearing)
+        tokens, loss = self.limits.tokens, self.limits.loss_tokens
+        while rest.tokens >= tokens or rest.loss(rest.tokens) > loss:
+            piece = rest.cut(rest.fitting(tokens, loss))
+            if piece.tokens == tokens:
+                yield self._row(piece, 0)
+                self.bin += 1
+            else:  # cut by the loss: tokens without loss may still join it
+                self.waiting.append(piece)
+                self.held += piece.tokens
+                yield from self.ready()
+        if rest.tokens:
+            self.waiting.append(rest)
+            self.held += rest.tokens
 
     def _row(self, item: _Item, offset: int) -> tuple:
-        return item.doc, item.start, len(item.ids) // _WIDTH, item.ids, item.total, self.bin, offset
+        return item.doc, item.start, item.tokens, item.ids, item.total, self.bin, offset, item.loss(item.tokens)
 
     def ready(self) -> Iterator[tuple]:
         """Packs when a window is full, down to a half of it."""
         if self.held >= WINDOW_TOKENS or len(self.waiting) >= WINDOW_ITEMS:
             yield from self._pack(self.held // 2)
 
+    def _demand(self, item: _Item) -> np.ndarray:
+        return np.array([item.tokens, 1, item.loss(item.tokens)]) / self.caps
+
     def _pack(self, leave: int) -> Iterator[tuple]:
-        tokens = np.array([len(i.ids) // _WIDTH for i in self.waiting], float)
-        share = np.array(self.loss)
-        demand = np.stack([tokens, np.ones(len(tokens)), tokens * share], 1) / self.caps
+        tokens = np.array([i.tokens for i in self.waiting], float)
+        loss = np.array([i.loss(i.tokens) for i in self.waiting], float)
+        demand = np.stack([tokens, np.ones(len(tokens)), loss], 1) / self.caps
         here = np.ones(len(tokens), bool)
         held = self.held
         while held > max(leave, 0) and held >= self.limits.tokens:
-            room, offset = np.ones(3), 0
-            while True:
+            left, offset = [self.limits.tokens, self.limits.segments, self.limits.loss_tokens], 0
+            while left[0] and left[1]:
+                room = np.array(left) / self.caps
                 fits = here & (demand <= room + 1e-12).all(1)
                 if fits.any():
                     at = int(np.argmax(np.where(fits, demand @ room, -1)))
-                    length = int(tokens[at])
+                    length = self.waiting[at].tokens
                 else:
-                    if room[0] * self.caps[0] < 0.5 or room[1] * self.caps[1] < 0.5:
-                        break
-                    # Cut the largest item to what the tokens and the loss allow.
-                    by_loss = np.where(share > 0, room[2] * self.caps[2] / np.maximum(share, 1e-12), np.inf)
-                    allowed = np.where(here, np.minimum(np.minimum(tokens, by_loss), room[0] * self.caps[0]), 0)
-                    at = int(np.argmax(np.where(allowed >= 1, tokens, -1)))
-                    length = int(allowed[at] + 1e-6)
-                    if not here[at] or length < 1:
+                    # Cut the largest item that may begin here to what the tokens and the loss allow.
+                    wanted, length = here.copy(), 0
+                    while not length and wanted.any():
+                        at = int(np.argmax(np.where(wanted, tokens, -1)))
+                        length = self.waiting[at].fitting(left[0], left[2])
+                        wanted[at] = False
+                    if not length:
                         break
                 item = self.waiting[at]
-                yield self._row(_Item(item.doc, item.ids[: length * _WIDTH], item.start, item.total), offset)
-                offset += length
-                held -= length
-                room = room - np.array([length, 1, length * share[at]]) / self.caps
-                if length < tokens[at]:
-                    item.ids, item.start = item.ids[length * _WIDTH :], item.start + length
-                    tokens[at] -= length
-                    demand[at] = np.array([tokens[at], 1, tokens[at] * share[at]]) / self.caps
-                else:
-                    here[at] = False
+                here[at] = length < item.tokens
+                piece = item.cut(length)
+                yield self._row(piece, offset)
+                offset, held = offset + length, held - length
+                left = [left[0] - length, left[1] - 1, left[2] - piece.loss(length)]
+                if here[at]:
+                    tokens[at], demand[at] = item.tokens, self._demand(item)
             self.bin += 1
         self.waiting = [i for i, h in zip(self.waiting, here) if h]
-        self.loss = [s for s, h in zip(self.loss, here) if h]
         self.held = held
 
     def finish(self) -> Iterator[tuple]:
@@ -207,32 +250,34 @@ class Packer:
         while self.waiting:
             if not size:
                 size = min(1 << (self.held.bit_length() - 1), self.limits.tokens)
-                room, offset, segments, loss = size, 0, 0, 0.0
-            item, share = self.waiting[0], self.loss[0]
-            length = min(len(item.ids) // _WIDTH, room)
-            if share > 0:
-                length = min(length, int((self.limits.loss_tokens - loss) / share))
+                room, offset, segments, loss = size, 0, 0, 0
+            item = self.waiting[0]
+            length = item.fitting(room, self.limits.loss_tokens - loss)
             if segments == self.limits.segments or length < 1:
                 self.bin, size = self.bin + 1, 0
                 continue
-            yield self._row(_Item(item.doc, item.ids[: length * _WIDTH], item.start, item.total), offset)
-            offset, room, segments, loss = offset + length, room - length, segments + 1, loss + length * share
+            piece = item.cut(length)
+            yield self._row(piece, offset)
+            offset, room, segments, loss = offset + length, room - length, segments + 1, loss + piece.loss(length)
             self.held -= length
-            if length * _WIDTH < len(item.ids):
-                item.ids, item.start = item.ids[length * _WIDTH :], item.start + length
-            else:
+            if not item.tokens:
                 self.waiting.pop(0)
-                self.loss.pop(0)
             if not room:
                 self.bin, size = self.bin + 1, 0
 
 
-_COLUMNS = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
+_COLUMNS = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset", "loss_tokens"]
 
 
-def packed(documents: DataFrame, limits: Limits = Limits(), path: str | None = None) -> DataFrame:
+def packed(documents: DataFrame, limits: Limits = Limits(), path: str | None = None, loss: str | None = None) -> DataFrame:
     """One row per piece: doc_id, start, length, ids (little-endian unsigned 32-bit),
-    doc_tokens, sequence_id and offset. path: the tokenizer's file on the executors."""
+    doc_tokens, sequence_id, offset and loss_tokens. path: the tokenizer's file on the executors.
+
+    loss: a column of arrays of (start, end) structs, the spans of a document's tokens that
+    bear loss (the end id is its last token). Without it, or where it is null, all tokens bear
+    loss; in an empty array none does.
+    """
+    texts = documents.select("doc_id", "text", *([F.col(loss).alias("spans")] if loss else []))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = word_ids(path or public_tokenizers.path(VOCABULARY))
@@ -242,9 +287,12 @@ def packed(documents: DataFrame, limits: Limits = Limits(), path: str | None = N
         for batch in batches:
             for first, texts in in_slices(batch["text"].tolist()):
                 docs = batch["doc_id"].iloc[first : first + len(texts)]
-                for doc, ids in zip(docs, words.encode(texts)):
+                spans = batch["spans"].iloc[first : first + len(texts)] if loss else repeat(None)
+                for doc, ids, own in zip(docs, words.encode(texts), spans):
                     doc = None if pd.isna(doc) else doc
-                    for row in (*packer.add(doc, ids + end), *packer.ready()):
+                    ids += end
+                    bearing = None if own is None else loss_before(len(ids) // _WIDTH, [_bounds(s) for s in own])
+                    for row in (*packer.add(doc, ids, bearing), *packer.ready()):
                         rows.append(row)
                         size += row[2]
                 if size >= WINDOW_TOKENS:
@@ -255,6 +303,13 @@ def packed(documents: DataFrame, limits: Limits = Limits(), path: str | None = N
             yield pd.DataFrame(rows, columns=_COLUMNS)
 
     kind = documents.schema["doc_id"].dataType.simpleString()
-    return documents.select("doc_id", "text").mapInPandas(
-        run, f"doc_id {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
+    return texts.mapInPandas(
+        run, f"doc_id {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, loss_tokens long"
     )
+
+
+def _bounds(span) -> tuple:
+    """A span as (start, end), whatever its fields are called; a null span is empty."""
+    if span is None:
+        return 0, 0
+    return tuple(span.values() if isinstance(span, dict) else span)

@@ -8,6 +8,7 @@ import pandas as pd
 import public_tokenizers
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from candleworks.llm import packing, piece_bpe, queries
@@ -59,7 +60,8 @@ def test_word_ids_equal_the_library(small):
     assert words.encode(texts) == want
 
 
-def check_packing(pieces: pd.DataFrame, totals: dict, limits: packing.Limits, loss=lambda doc: 1.0):
+def check_packing(pieces: pd.DataFrame, totals: dict, limits: packing.Limits, loss=None):
+    """loss: a list of 0 and 1 per document; by default all tokens bear loss."""
     got = {}
     for doc, own in pieces.sort_values("start").groupby("doc_id"):
         assert (own.start.to_numpy() == np.concatenate([[0], own.length.cumsum()[:-1]])).all()
@@ -69,25 +71,49 @@ def check_packing(pieces: pd.DataFrame, totals: dict, limits: packing.Limits, lo
     for _, own in pieces.sort_values("offset").groupby("sequence_id"):
         assert (own.offset.to_numpy() == np.concatenate([[0], own.length.cumsum()[:-1]])).all()
         assert own.length.sum() <= limits.tokens and len(own) <= limits.segments
-        assert sum(n * loss(d) for d, n in zip(own.doc_id, own.length)) <= limits.loss_tokens + 1e-6
+        assert own.loss_tokens.sum() <= limits.loss_tokens
+    for r in pieces.itertuples():
+        assert r.loss_tokens == (r.length if loss is None else sum(loss[r.doc_id][r.start : r.start + r.length]))
 
 
 @pytest.mark.parametrize("seed", range(4))
 def test_bins_hold_all_three_limits(seed):
     rng = random.Random(seed)
     limits = packing.Limits(tokens=64, segments=5, loss_tokens=40)
-    share = {i: rng.choice([0.0, 0.25, 1.0]) for i in range(400)}
-    lengths = {i: rng.choice([1, 2, rng.randrange(1, 40), rng.randrange(1, 300)]) for i in share}
+    lengths = {i: rng.choice([1, 2, rng.randrange(1, 40), rng.randrange(1, 300)]) for i in range(400)}
+    spans, mask = {}, {}
+    for i, n in lengths.items():
+        at = rng.randrange(n + 1)  # none, all, the tail, or overlapping spans beyond the end
+        spans[i] = rng.choice([[], None, [(at, None)], [(n // 3, n // 2), (n // 4, n // 2 + 1), (n - 1, n + 9)]])
+        own = [(0, n)] if spans[i] is None else [(s, n if e is None else e) for s, e in spans[i]]
+        mask[i] = [int(any(s <= k < e for s, e in own)) for k in range(n)]
     packer, rows = packing.Packer(limits), []
     for i, n in lengths.items():
-        rows += [*packer.add(i, np.arange(n, dtype="<u4").tobytes(), share[i]), *packer.ready()]
+        rows += [*packer.add(i, np.arange(n, dtype="<u4").tobytes(), packing.loss_before(n, spans[i])), *packer.ready()]
     rows += packer.finish()
     pieces = pd.DataFrame(rows, columns=packing._COLUMNS)
-    check_packing(pieces, lengths, limits, share.__getitem__)
+    check_packing(pieces, lengths, limits, mask)
     for r in pieces.itertuples():
         assert np.frombuffer(r.ids, "<u4").tolist() == list(range(r.start, r.start + r.length))
 
 
+def test_loss_at_the_tail_binds_through_packed(spark):
+    """300 instruction rows of 41 tokens, the last 11 with loss: at most 3 to a bin of 4096."""
+    text = " ".join(["word"] * 40)
+    docs = spark.createDataFrame([(i, text, [(30, 41)]) for i in range(300)], "doc_id long, text string, spans array<struct<s:int,e:int>>")
+    limits = packing.Limits(loss_tokens=33)
+    pieces = packing.packed(docs, limits, loss="spans").toPandas()
+    mask = [0] * 30 + [1] * 11
+    check_packing(pieces, {i: 41 for i in range(300)}, limits, {i: mask for i in range(300)})
+    bins = pieces.groupby("sequence_id").loss_tokens.sum()
+    assert pieces.loss_tokens.sum() == 3300 and len(bins) >= 100 and bins.max() == 33
+    free = packing.packed(docs.withColumn("spans", F.expr("if(doc_id = 0, null, slice(spans, 1, 0))")), limits, loss="spans")
+    got = free.groupBy("doc_id").agg(F.sum("loss_tokens")).collect()
+    assert dict(got) == {i: 41 if i == 0 else 0 for i in range(300)}
+    with pytest.raises(ValueError):
+        packing.Packer(packing.Limits(loss_tokens=0))
+
+
 def test_packed_documents(spark, small, documents, awkward):
     docs = small("documents")
     pieces = packing.packed(docs).toPandas()
