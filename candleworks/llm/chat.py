@@ -2,8 +2,9 @@
 
 A turn's content is text, or a list of parts of type text, image, audio or document. A
 visitor flattens the parts in order: text is escaped, an attachment becomes one
-placeholder, and its reference and expanded token count are recorded beside it. The
-template marks turns:
+placeholder, and its reference and expanded token count are recorded beside it. A part of
+any other type becomes the placeholder ``<|unknown|>`` of one token, recorded under the type
+it names. The template marks turns:
 
     <|im_start|>role\\ncontent<|im_end|>\\n
 
@@ -79,9 +80,7 @@ class Visitor:
         out = Flattened()
         for part in parts:
             kind = part.get("type") or "text"
-            visit = getattr(self, f"visit_{kind}", None)
-            if visit is None:
-                raise ValueError(f"unknown content part type {kind!r}")
+            visit = getattr(self, f"visit_{kind}", None) or self.visit_unknown
             visit(part, out)
         return out
 
@@ -99,10 +98,13 @@ class Visitor:
     def visit_document(self, part: dict, out: Flattened) -> None:
         self._attach("document", part, (part.get("pages") or 1) * self.rates.document_per_page, out)
 
-    def _attach(self, kind: str, part: dict, tokens: int, out: Flattened) -> None:
+    def visit_unknown(self, part: dict, out: Flattened) -> None:
+        self._attach("unknown", part, 1, out, part.get("type"))
+
+    def _attach(self, kind: str, part: dict, tokens: int, out: Flattened, named: str | None = None) -> None:
         placeholder = f"<|{kind}|>"
         out.attachments.append(
-            {"type": kind, "ref": part.get("ref"), "tokens": max(1, tokens), "start": len(out.content), "length": len(placeholder)}
+            {"type": named or kind, "ref": part.get("ref"), "tokens": max(1, tokens), "start": len(out.content), "length": len(placeholder)}
         )
         out.content += placeholder
 

@@ -73,3 +73,9 @@ def test_awkward_conversations(spark):
     assert got[1].turns_sha256 == digest("user\n\nassistant\nb\nassistant\nb\n") and got[1].loss_chars == 2
     assert got[2].n_turns == 500 and got[2].loss_sha256 == digest("long " * 50_000)
     assert chat.read_back(chat.formatted(spark.createDataFrame([], kind))).count() == 0
+
+
+def test_unknown_parts_become_placeholders():
+    flat = chat.Visitor().flatten([{"type": "text", "text": "a"}, {"type": "video", "ref": "v.mp4"}, {"type": "flatten"}, {"text": "b"}])
+    assert flat.content == "a<|unknown|><|unknown|>b"
+    assert [(a["type"], a["ref"], a["tokens"], a["start"]) for a in flat.attachments] == [("video", "v.mp4", 1, 1), ("flatten", None, 1, 12)]
