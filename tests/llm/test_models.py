@@ -88,6 +88,13 @@ def test_toxicity_of_awkward_tables(documents, labels, awkward, rude):
     assert model.scores(["a b"]) == [0.0]
 
 
+def test_contradicting_labels_are_counted(documents, labels, monkeypatch):
+    """The more frequent label of an id counts, at a tie the toxic one."""
+    monkeypatch.setattr(toxicity, "train", lambda texts, toxic, counts: (dict(zip(texts, toxic)), counts))
+    given = labels([(0, 1, 0), (0, 1, 1), (0, 1, 0), (1, 1, 1), (1, 1, 0), (2, 1, 0), (2, 1, None), (None, 1, 1)])
+    assert toxicity.fit(documents(["a", "b", "c", "d"]), given) == ({"a": 0, "b": 1, "c": 0}, (2, 1))
+
+
 def test_rejection_level_is_the_calibrated_one():
     """Two languages: the larger chance is never below a half, and yet foreign text is rejected."""
     rng = np.random.default_rng(3)
