@@ -1462,3 +1462,19 @@ SQL["st_batch_ledger"] = _with(
 SELECT count(*) AS rows, min(date) AS first_date, max(date) AS last_date FROM bars
 GROUP BY CASE WHEN year(date) <= 1994 THEN 1 WHEN year(date) <= 1996 THEN 2 ELSE 3 END""",
 )
+SQL["st_order_rules"] = _with(
+    _DIRTY,
+    """,
+arrived AS (
+  SELECT symbol, ingest_seq, date,
+         date_diff('day', lag(date) OVER (PARTITION BY symbol ORDER BY ingest_seq), date) AS gap,
+         ingest_seq > 1000000 AND date <= (SELECT max(date) FROM bars) - INTERVAL 30 DAY AS late, close
+  FROM dirty),
+timed AS (
+  SELECT *, abs(close / lag(close) OVER (PARTITION BY symbol ORDER BY date, ingest_seq) - 1) AS step
+  FROM arrived WHERE NOT late)
+SELECT symbol, ingest_seq, date, 'vr_date_order' AS rule FROM arrived WHERE gap < 0
+UNION ALL SELECT symbol, ingest_seq, date, 'vr_gap_suspicious' FROM arrived WHERE gap > 7
+UNION ALL SELECT symbol, ingest_seq, date, 'late' FROM arrived WHERE late
+UNION ALL SELECT symbol, ingest_seq, date, 'vr_extreme_variation' FROM timed WHERE step > 0.2""",
+)

@@ -7,6 +7,7 @@ and sums of doubles are rounded where engines add in different orders.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +31,7 @@ from candleworks.schema import BAR_COLUMNS, CORRECTED, ORIGINAL, SEQ, SYMBOL
 from candleworks.session import fresh_folder, staged
 from candleworks.sources import payloads, store, universe
 from candleworks.streaming import bars as streams
+from candleworks.streaming.order import OrderRules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -1283,6 +1285,23 @@ def st_row_rules(spark, sf_dir):
     return spark.read.parquet(target)
 
 
+@query
+def st_order_rules(spark, sf_dir):
+    """The order rules with memory: three parts in the order of arrival and then the copies, each
+    read by a stream that starts again where the one before it ended."""
+    landing = fresh_folder(spark, "ordered")
+    bars = staged(fx.dirty_bars(spark, sf_dir), "bars")
+    check = OrderRules(spark, f"{landing}-rules", dt.timedelta(days=30))
+    copies = F.col(SEQ) > 1_000_000
+    parts = [~copies & F.year("date").between(*years) for years in ((0, 1994), (1995, 1996), (1997, 9999))]
+    for part in (*parts, copies):
+        bars.where(part).write.mode("append").parquet(landing)
+        rows = spark.readStream.schema(bars.schema).parquet(landing)
+        state = f"{landing}-state"
+        rows.writeStream.foreachBatch(check).option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
+    return check.found(closed=True).select(SYMBOL, SEQ, F.col("datetime").cast("date").alias("date"), "rule")
+
+
 @query
 def st_ohlc_bars(spark, sf_dir):
     """Hourly bars of the event stream: the windows that the watermark has closed."""

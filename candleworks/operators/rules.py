@@ -252,7 +252,7 @@ def _pass_by_ingest(bars: DataFrame, wanted: Collection[str]) -> DataFrame:
 # --- copies and changes along the datetime ---------------------------------
 
 
-def _variation(now: Column, prev: Column) -> Column:
+def variation(now: Column, prev: Column) -> Column:
     """Absolute relative change; from zero to anything else it is infinite."""
     from_zero = (prev == 0) & (now != 0)
     return F.when(from_zero, F.lit(float("inf"))).otherwise(F.abs(change(now, prev)))
@@ -265,7 +265,7 @@ def _fold_changes(parts: DataFrame, into: list[str], order: list[str], *more: Co
     of the extreme changes in it; merging adds the steps between neighbours.
     """
     w = Window.partitionBy(*into).orderBy(*order)
-    step = _variation(F.col("first"), F.last("last", ignorenulls=True).over(before(w)))
+    step = variation(F.col("first"), F.last("last", ignorenulls=True).over(before(w)))
     hit = F.col("step") > MAX_VARIATION
     place = F.struct(*order)
     return (
