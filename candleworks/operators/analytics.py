@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from candleworks.functions.columns import change, ratio
 from candleworks.functions.joins import spread_join
-from candleworks.functions.quantiles import exact_quantiles, value_counts
+from candleworks.functions.quantiles import exact_quantiles
 from candleworks.functions.series import (
     own_rows,
     padded,
@@ -23,6 +23,7 @@ from candleworks.functions.series import (
     with_carry,
 )
 from candleworks.schema import DATETIME, SYMBOL
+from candleworks.session import staged
 
 # Trading days per year, rolling window, anomaly limit, top days.
 TRADING_DAYS = 252
@@ -229,15 +230,30 @@ def summary(bars: DataFrame, window: int = VOLATILITY_WINDOW) -> DataFrame:
 
 def volume_stats(bars: DataFrame) -> DataFrame:
     """Mean, deviation, exact median, extremes (whole numbers) and zero-volume rows."""
-    counts = value_counts(bars, [SYMBOL], ["volume"])
-    median = exact_quantiles(counts, [SYMBOL], {"median": 0.5})
+    # All figures come from the counts of equal volumes; a volume without value is counted too.
+    counts = staged(bars.groupBy(SYMBOL, F.col("volume").alias("value")).agg(F.count("*").alias("n")), "volumes")
+    known = counts.where("value is not null").select(SYMBOL, F.col("value").cast("double").alias("value"), "n")
+    median = exact_quantiles(known, [SYMBOL], {"median": 0.5})
     whole = lambda c, name: c.cast("bigint").alias(name)
-    stats = bars.groupBy(SYMBOL).agg(
-        whole(F.avg("volume"), "average_volume"),
-        whole(F.stddev_samp("volume"), "std_volume"),
-        F.max("volume").alias("max_volume"),
-        F.min("volume").alias("min_volume"),
-        F.count_if(F.col("volume") == 0).alias("zero_volume_days"),
+    value, n = F.col("value").cast("double"), F.col("n")
+    sums = counts.groupBy(SYMBOL).agg(
+        F.sum(F.when(F.col("value").isNotNull(), n)).alias("_n"),
+        F.sum(value * n).alias("_sum"),
+        F.max("value").alias("max_volume"),
+        F.min("value").alias("min_volume"),
+        F.coalesce(F.sum(F.when(F.col("value") == 0, n)), F.lit(0)).alias("zero_volume_days"),
+    )
+    # Deviations from the mean, so that nothing cancels.
+    centred = sums.select(SYMBOL, ratio("_sum", "_n").alias("_mean"))
+    off = F.col("value") - F.col("_mean")
+    spread = spread_join(known, centred, [SYMBOL], "value").groupBy(SYMBOL).agg(F.sum(off * off * n).alias("_off"))
+    stats = sums.join(centred, SYMBOL).join(spread, SYMBOL, "left").select(
+        SYMBOL,
+        whole(F.col("_mean"), "average_volume"),
+        whole(F.sqrt(ratio("_off", F.nullif(F.col("_n") - 1, F.lit(0)))), "std_volume"),
+        "max_volume",
+        "min_volume",
+        "zero_volume_days",
     )
     return stats.join(median, SYMBOL, "left").select(
         SYMBOL,

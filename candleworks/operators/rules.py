@@ -19,6 +19,7 @@ from candleworks.functions.joins import spread_join
 from candleworks.functions.quantiles import exact_quantiles, value_counts
 from candleworks.functions.series import before
 from candleworks.schema import BAR_COLUMNS, DATETIME, OHLC, PRICES, SEQ, SYMBOL
+from candleworks.session import staged
 
 CRITICAL, WARNING, INFO = "CRITICAL", "WARNING", "INFO"
 
@@ -350,7 +351,7 @@ def iqr_bounds(counts: DataFrame) -> DataFrame:
 
 def _outlier_issues(bars: DataFrame) -> DataFrame:
     # A single row lies on both quartiles, so no rule on the number of rows is needed.
-    counts = value_counts(bars, [SYMBOL], [*OHLC, "volume"])
+    counts = staged(value_counts(bars, [SYMBOL], [*OHLC, "volume"]), "values")
     value = F.col("value")
     outside = (value < F.col("lower")) | (value > F.col("upper"))
     per_field = (

@@ -134,6 +134,34 @@ def test_exact_quantiles(spark, kind):
         assert row[name] == pytest.approx(np.quantile(values, q), rel=1e-12)
 
 
+def test_quantiles_of_crowded_bins(spark):
+    """Two symbols in one frame: thousands of prices within a percent, and half of them within
+    a millionth; bins are cut until none has more than 20 distinct values."""
+    rng = np.random.default_rng(5)
+    values = {
+        "even": 100 + rng.random(6000),
+        "clustered": np.concatenate([50 + rng.random(1500) * 1e-6, 50 + rng.random(1500) * 0.5, np.full(99, 50.25)]),
+        "few": np.array([-3.0, 0.0, 0.0, 7.0]),
+    }
+    frame = pd.concat([pd.DataFrame({"symbol": s, "x": v}) for s, v in values.items()])
+    counts = value_counts(spark.createDataFrame(frame), ["symbol"], ["x"])
+    wanted = {"a": 0.25, "b": 0.5, "c": 0.755, "d": 0.0, "e": 1.0}
+    rows = {r.symbol: r for r in exact_quantiles(counts, ["symbol"], wanted, most=20).collect()}
+    for symbol, v in values.items():
+        for name, q in wanted.items():
+            assert rows[symbol][name] == pytest.approx(np.quantile(v, q), rel=1e-12), (symbol, name)
+    none = exact_quantiles(counts.where("n < 0"), ["symbol"], wanted, most=20)
+    assert none.count() == 0 and none.columns == ["symbol", *wanted]
+
+
+def test_volume_stats_of_repeated_and_missing_volumes(spark):
+    volumes = {"A": [5, 5, 5, 0, None, 9], "B": [None, None], "C": [7]}
+    rows = [(s, v) for s, vs in volumes.items() for v in vs]
+    stats = analytics.volume_stats(spark.createDataFrame(rows, "symbol string, volume long")).collect()
+    got = {r.symbol: tuple(r)[1:] for r in stats}
+    assert got == {"A": (4, 3, 5, 9, 0, 1), "B": (None, None, None, None, None, 0), "C": (7, None, 7, 7, 7, 0)}
+
+
 def test_corrected_layer_properties(spark, bars, walk):
     fixed = corrections.corrected_layer(bars).toPandas()
     keys = set(zip(fixed.symbol, fixed.date))
