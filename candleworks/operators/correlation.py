@@ -70,15 +70,17 @@ def _numbered(symbols: DataFrame) -> DataFrame:
 
 def correlation(bars: DataFrame) -> DataFrame:
     """(symbol_a, symbol_b, correlation, strength) over the dates both have a return."""
-    names = staged(_numbered(bars.select(SYMBOL).distinct()), "symbols")
+    # Returns are computed once; a symbol without any has no pair.
+    returns = staged(symbol_returns(bars).where("value is not null"), "returns")
+    names = staged(_numbered(returns.select(SYMBOL).distinct()), "symbols")
     blocks = (names.agg(F.max("number")).first()[0] or 0) // BLOCK + 1
-    known = symbol_returns(bars).where("value is not null").join(names, SYMBOL)
+    groups = max(1, math.ceil(returns.select(DATETIME).distinct().count() / DATES))
+    known = returns.join(names, SYMBOL)
     entry = F.struct(F.pmod("number", F.lit(BLOCK)).cast("int").alias("place"), "value")
     vectors = known.groupBy(DATETIME, F.floor(F.col("number") / BLOCK).alias("block")).agg(
         F.collect_list(entry).alias("v")  # at most one per symbol of the block
     )
-    vectors = staged(vectors.select(DATETIME, "block", F.col("v.place").alias("places"), F.col("v.value").alias("values")), "vectors")
-    groups = max(1, math.ceil(vectors.select(DATETIME).distinct().count() / DATES))
+    vectors = vectors.select(DATETIME, "block", F.col("v.place").alias("places"), F.col("v.value").alias("values"))
     other = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     sums = (
         vectors.withColumn("_other", other)
