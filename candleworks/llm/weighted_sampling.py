@@ -32,93 +32,150 @@ from candleworks.llm.text import words
 from candleworks.session import staged
 
 SAMPLES = 64
-#: (term, weight) pairs whose samples are remembered, in each of two generations.
-REMEMBERED = 1 << 16
+#: (term, weight) pairs whose values are remembered, in each of two generations.
+REMEMBERED = 1 << 17
 #: Pairs drawn at once.
 STEP = 2_048
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
-    x = x ^ (x >> np.uint64(30))
-    x = x * np.uint64(0xBF58476D1CE4E5B9)
-    x = x ^ (x >> np.uint64(27))
-    x = x * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def _two_uniforms(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """In (0, 1), from the upper and the lower half of the bits."""
+    out = x >> np.uint64(30)
+    out ^= x
+    out *= np.uint64(0xBF58476D1CE4E5B9)
+    high = out >> np.uint64(27)
+    out ^= high
+    out *= np.uint64(0x94D049BB133111EB)
+    np.right_shift(out, np.uint64(31), out=high)
+    out ^= high
+    return out
+
+
+def _upper(x: np.ndarray) -> np.ndarray:
+    """A uniform in (0, 1) from the upper half of the bits."""
+    out = (x >> np.uint64(32)).astype(np.float64)
+    out += 0.5
+    out /= 2**32
+    return out
+
+
+def _log_of_two(x: np.ndarray) -> np.ndarray:
+    """The log of the product of two uniforms, from the upper and the lower half of the bits."""
     low = (x & np.uint64(0xFFFFFFFF)).astype(np.float64)
-    return ((x >> np.uint64(32)).astype(np.float64) + 0.5) / 2**32, (low + 0.5) / 2**32
-
-
-def draw(terms: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The value to be least, and the 16 bits that stand for (term, t), per pair and sample."""
-    k = _mixed(np.arange(1, SAMPLES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    seed = terms[:, None] ^ k[None, :]
-    u1, u2 = _two_uniforms(_mixed(seed))
-    u3, u4 = _two_uniforms(_mixed(seed + np.uint64(0xA0761D6478BD642F)))
-    b = _two_uniforms(_mixed(seed + np.uint64(0xE7037ED1A0B428DB)))[0]
-    r = -np.log(u1 * u2)
-    t = np.floor(np.log(weights)[:, None] / r + b)
-    value = np.log(-np.log(u3 * u4)) - r * (t + 1 - b)
+    low += 0.5
+    low /= 2**32
+    low *= _upper(x)
+    return np.log(low, out=low)
+
+
+_KEYS = _mixed(np.arange(1, SAMPLES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+def _steps(seed: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """r, b and t of the seeds of (term, sample)."""
+    b = _upper(_mixed(seed + np.uint64(0xE7037ED1A0B428DB)))
+    r = _log_of_two(_mixed(seed))
+    np.negative(r, out=r)
+    t = np.log(weights) / r
+    t += b
+    return r, b, np.floor(t, out=t)
+
+
+def draw(terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """The value to be least, per pair and sample."""
+    seed = terms[:, None] ^ _KEYS[None, :]
+    r, b, t = _steps(seed, weights[:, None])
+    t += 1
+    t -= b
+    t *= r
+    c = _log_of_two(_mixed(seed + np.uint64(0xA0761D6478BD642F)))
+    np.negative(c, out=c)
+    np.log(c, out=c)
+    c -= t
+    return c.astype(np.float32)
+
+
+def marked(terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """The 16 bits that stand for (term, t) of the pair that each sample takes."""
+    seed = terms ^ _KEYS
+    t = _steps(seed, weights)[2]
     taken = t.astype(np.int64).view(np.uint64) * np.uint64(0x8EBC6AF09C88C6E3)
     mark = _mixed(_mixed(seed + np.uint64(0x589965CC75374CC3)) ^ taken) >> np.uint64(48)
-    return value.astype(np.float32), mark.astype(np.uint16)
+    return mark.astype(np.uint16)
+
+
+#: A word that occurs once, or a word and its count; most are met once, and a plain key is found sooner.
+Pair = bytes | tuple[bytes, int]
 
 
 class Sampler:
     """Fingerprints as arrays of 16-bit samples.
 
-    What was drawn for a pair is kept in a table of fixed size with two generations. When the
+    The values drawn for a pair are kept in a table of fixed size with two generations. When the
     younger one is full, the older one is forgotten and filled anew; pairs that are met again
-    move to the younger one, so frequent words stay.
+    move to the younger one, so frequent words stay. Marks are worked out for the pairs taken alone.
     """
 
     def __init__(self) -> None:
         self.values = np.empty((2 * REMEMBERED, SAMPLES), np.float32)
-        self.marks = np.empty((2 * REMEMBERED, SAMPLES), np.uint16)
-        self.known: list[dict[tuple[bytes, int], int]] = [{}, {}]
+        self.terms = np.empty(2 * REMEMBERED, np.uint64)
+        self.weights = np.empty(2 * REMEMBERED, np.float64)
+        self.known: list[dict[Pair, int]] = [{}, {}]
         self.young = 0
 
-    def _rows(self, pairs: list[tuple[bytes, int]]) -> np.ndarray:
-        """Where the table holds the samples of at most STEP pairs."""
-        if len(self.known[self.young]) + len(pairs) > REMEMBERED:
-            self.young ^= 1
-            self.known[self.young] = {}
-        row, old = self.known[self.young], self.known[self.young ^ 1]
-        met = [p for p in pairs if p not in row and p in old]
-        new = [p for p in pairs if p not in row and p not in old]
+    def _rows(self, pairs: list[Pair]) -> np.ndarray:
+        """Where the table holds the values of at most STEP pairs."""
+        row = self.known[self.young]
+        places = list(map(row.get, pairs))
+        if None in places:
+            missing = [p for p, place in zip(pairs, places) if place is None]
+            if len(row) + len(missing) > REMEMBERED:
+                self.young ^= 1
+                row = self.known[self.young] = {}
+                missing = pairs
+            self._add(row, missing)
+            places = list(map(row.__getitem__, pairs))
+        return np.array(places, np.int64)
+
+    def _add(self, row: dict[Pair, int], pairs: list[Pair]) -> None:
+        """Pairs the younger generation lacks: from the older one, or drawn."""
+        old = self.known[self.young ^ 1]
+        met = [p for p in pairs if p in old]
+        new = [p for p in pairs if p not in old] if met else pairs
         for some in (met, new):
+            if not some:
+                continue
             at = self.young * REMEMBERED + len(row)
-            if some is met and some:
-                before = [old[p] for p in some]
-                found = self.values[before], self.marks[before]
-            elif some:
-                terms = np.array([xxhash.xxh64_intdigest(w) for w, _ in some], np.uint64)
-                found = draw(terms, np.array([n for _, n in some], np.float64))
+            here = slice(at, at + len(some))
+            if some is met:
+                before = np.array([old[p] for p in some], np.int64)
+                for kept in (self.values, self.terms, self.weights):
+                    kept[here] = kept[before]
             else:
-                continue
-            self.values[at : at + len(some)], self.marks[at : at + len(some)] = found
+                single = [type(p) is bytes for p in some]
+                self.terms[here] = [xxhash.xxh64_intdigest(p if one else p[0]) for p, one in zip(some, single)]
+                self.weights[here] = [1 if one else p[1] for p, one in zip(some, single)]
+                self.values[here] = draw(self.terms[here], self.weights[here])
             row.update(zip(some, range(at, at + len(some))))
-        return np.fromiter(map(row.__getitem__, pairs), np.int64, len(pairs))
 
     def sample(self, text: str | None) -> np.ndarray:
-        pairs = list(Counter(words(text)).items())
+        pairs = [w if n == 1 else (w, n) for w, n in Counter(words(text)).items()]
         if not pairs:
             return np.zeros(0, np.uint16)
-        best, mark, step = None, None, min(STEP, REMEMBERED)
+        best, step = None, min(STEP, REMEMBERED)
         for at in range(0, len(pairs), step):  # bounds the memory of very long texts
             part = self._rows(pairs[at : at + step])
             values = self.values[part]
             least = values.argmin(0)
-            v, m = values[least, np.arange(SAMPLES)], self.marks[part[least], np.arange(SAMPLES)]
+            taken = part[least]
+            v, term, weight = values[least, np.arange(SAMPLES)], self.terms[taken], self.weights[taken]
             if best is None:
-                best, mark = v, m
+                best, terms, weights = v, term, weight
             else:
                 better = v < best
-                best, mark = np.where(better, v, best), np.where(better, m, mark)
-        return mark
+                best, terms, weights = (
+                    np.where(better, x, y) for x, y in ((v, best), (term, terms), (weight, weights))
+                )
+        return marked(terms, weights)
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:

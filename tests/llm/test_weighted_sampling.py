@@ -37,6 +37,17 @@ def test_forgetting_and_steps_change_nothing(monkeypatch):
     assert [ws.as_text(sampler.sample(t)) for t in texts] == want
 
 
+def test_known_pairs_take_no_room_in_the_table(monkeypatch):
+    monkeypatch.setattr(ws, "REMEMBERED", 60)
+    drawn, draw = [], ws.draw
+    monkeypatch.setattr(ws, "draw", lambda terms, weights: drawn.append(len(terms)) or draw(terms, weights))
+    sampler, text = ws.Sampler(), " ".join(f"w{i}" for i in range(40))
+    first = sampler.sample(text)
+    assert (sampler.sample(text + " w0 w1 w2") == sampler.sample(text + " w0 w1 w2")).all()
+    assert (sampler.sample(text) == first).all()
+    assert (sum(drawn), sampler.young) == (43, 0)  # the table was not begun anew for pairs it holds
+
+
 def by_definition(rows):
     order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1] is not None, r[1] or ""))
     sampler, out = ws.Sampler(), []
