@@ -208,11 +208,13 @@ class BarStore:
         )
 
     def _replace(self, frame: DataFrame, table: str, parts: Sequence[str]) -> None:
-        """Overwrites the partitions of the frame, which may be read from the same table."""
-        staging = f"staging/{table}-{uuid.uuid4().hex}"
-        self._write(frame, staging, parts, "overwrite")
-        self._write(self.spark.read.parquet(self._path(staging)), table, parts, "overwrite")
-        drop_folder(self.spark, self._path(staging))
+        """Overwrites the partitions of the frame, which may be read from the same table.
+
+        The staged copy is one plain folder: only the table itself is dealt to month folders.
+        """
+        staged, path = self._staged(frame, table)
+        self._write(staged, table, parts, "overwrite")
+        drop_folder(self.spark, path)
 
     def _write_csv(self, rows: DataFrame, parts: Sequence[str]) -> None:
         (

@@ -132,6 +132,18 @@ def save(store, bars):
     return store.save(bars, corrections.corrected_layer(rules.accepted(bars, found)), found)
 
 
+def test_a_merge_writes_month_folders_once(spark, monkeypatch):
+    target = BarStore(spark, fresh_folder(spark, "store"))
+    rows = frames.bars(spark, [{} for _ in range(70)]).withColumn("is_filled", F.lit(False))
+    rows = rows.withColumns({"year": F.year("date"), "month": F.month("date")})
+    target.upsert(rows, ORIGINAL, "bars", OWN_MONTH)
+    written, write = [], BarStore._write
+    monkeypatch.setattr(BarStore, "_write", lambda self, frame, table, *more: written.append(table) or write(self, frame, table, *more))
+    target.upsert(rows.where("ingest_seq % 2 = 0").withColumn("close", F.lit(1.0)), ORIGINAL, "bars", OWN_MONTH)
+    assert written == ["bars"]
+    assert target.bars(ORIGINAL).count() == 70 and target.bars(ORIGINAL).where("close = 1").count() == 35
+
+
 def test_store_round_trip(spark):
     store = BarStore(spark, fresh_folder(spark, "store"), compression="zstd")
     good = frames.bars(spark, [{"date": dt.date(2025, 1, d)} for d in (27, 28, 29, 30, 31)])
